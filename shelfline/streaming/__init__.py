@@ -1,0 +1 @@
+"""Every job here is a batch job over whole tables; no streaming operator is defined."""
