@@ -1,5 +1,9 @@
 """Inputs of the registered queries, all derived by Spark from the supplied tables.
 
+The tables that a run keeps in its warehouse (fact, calendar, mart, wide sales, features) are
+written once per application to the shared folder; queries read those copies. Everything behind
+a stored table is computed from whole supplied tables.
+
 Dirty variants spoil whole tables by rule (day of month, week key, cell value), so audits and
 cleaners have something to find at every data volume.
 """
@@ -10,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions import round_half_up
-from shelfline.operators import forecasting, reshape, rollups
-from shelfline.plans.jobs import forecast_frames
+from shelfline.operators import features, forecasting, reshape, rollups
 from shelfline.schemas import ID_COLUMNS, day_columns
 from shelfline.session import scratch_path
 from shelfline.sources import supplied
@@ -30,19 +33,19 @@ def stored(spark: SparkSession, sf_dir: str, label: str, build) -> DataFrame:
 
 
 def fact(spark, d):
-    return supplied.daily_fact(spark, d)
+    return stored(spark, d, "fact", lambda: supplied.daily_fact(spark, d))
 
 
 def series(spark, d):
-    return supplied.daily_series(spark, d)
+    return stored(spark, d, "series", lambda: supplied.daily_series(spark, d))
 
 
 def calendar(spark, d):
-    return supplied.calendar(spark, d)
+    return stored(spark, d, "calendar", lambda: supplied.calendar(spark, d))
 
 
 def prices(spark, d):
-    return supplied.prices(series(spark, d), calendar(spark, d))
+    return stored(spark, d, "prices", lambda: supplied.prices(series(spark, d), calendar(spark, d)))
 
 
 def wide(spark, d):
@@ -151,16 +154,21 @@ def raw_prices(spark, d):
     )
 
 
+def gap_filled(spark, d):
+    """The gap filling itself, not a stored copy of it."""
+    return reshape.gap_fill_dates(forecasting.load_series(series_mart(spark, d)))
+
+
 def filled(spark, d):
-    return forecast_frames(series_mart(spark, d))[0]
+    return stored(spark, d, "filled", lambda: gap_filled(spark, d))
 
 
 def featured(spark, d):
-    return forecast_frames(series_mart(spark, d))[1]
+    return stored(spark, d, "featured", lambda: features.feature_matrix(filled(spark, d)))
 
 
 def split(spark, d):
-    return forecast_frames(series_mart(spark, d))[2:]
+    return forecasting.time_split(featured(spark, d))
 
 
 def forecast(spark, d):

@@ -115,7 +115,7 @@ ENTRIES = {
         query(f"SELECT CAST(sum({_UNIT}) AS BIGINT) AS total_sales FROM raw_cells"),
     ),
     "gap_fill_dates": (
-        lambda s, d: i.filled(s, d).select("store_id", "item_id", "date", "sales", "sell_price", "state_id", "cat_id", "department", "day_id"),
+        lambda s, d: i.gap_filled(s, d).select("store_id", "item_id", "date", "sales", "sell_price", "state_id", "cat_id", "department", "day_id"),
         query(
             """SELECT f.store_id, f.item_id, f.date, f.sales, f.sell_price, f.state_id, f.cat_id, f.dept_id AS department,
             CASE WHEN original THEN c.d END AS day_id FROM filled f JOIN cal c ON f.date = c.date"""

@@ -7,11 +7,11 @@ from statistics import NormalDist
 from pyspark.sql import functions as F
 
 from catalog import inputs as i
-from catalog.sql import query, rnd
+from catalog.sql import query, rnd, stable_avg, stable_sum
 from shelfline.operators import inventory as inv, joins, serving as sv
 
 _Z98 = repr(NormalDist().inv_cdf(0.98))
-_STATS_SQL = "SELECT store_id, item_id, avg(predicted_demand) AS m, stddev_samp(predicted_demand) AS sd FROM %s GROUP BY 1, 2"
+_STATS_SQL = f"SELECT store_id, item_id, {stable_avg('predicted_demand')} AS m, stddev_samp(predicted_demand) AS sd FROM %s GROUP BY 1, 2"
 _RISE = "SELECT * REPLACE (predicted_demand * (1e0 + -1.2e0 * 0.1e0) AS predicted_demand) FROM forecast"
 
 
@@ -158,8 +158,8 @@ ENTRIES = {
     "kpi_summary": (
         lambda s, d: i.rounded(sv.kpi_summary(i.forecast(s, d), _plan(s, d)), 2),
         query(
-            f"""SELECT (SELECT {rnd('sum(predicted_demand)', 2)} FROM forecast) AS total_forecast,
-            (SELECT {rnd('avg(t)', 2)} FROM (SELECT sum(predicted_demand) AS t FROM forecast GROUP BY forecast_date)) AS avg_daily_forecast,
+            f"""SELECT (SELECT {rnd(stable_sum('predicted_demand'), 2)} FROM forecast) AS total_forecast,
+            (SELECT {rnd(stable_avg('t'), 2)} FROM (SELECT {stable_sum('predicted_demand')} AS t FROM forecast GROUP BY forecast_date)) AS avg_daily_forecast,
             (SELECT count(*) FROM plan WHERE stockout_risk = 'HIGH') AS high_risk_count,
             (SELECT {rnd('sum(recommended_order_quantity)', 2)} FROM plan) AS total_order_quantity"""
         ),
@@ -170,12 +170,12 @@ ENTRIES = {
     ),
     "daily_forecast": (
         lambda s, d: sv.daily_forecast(i.forecast(s, d)),
-        query(f"SELECT forecast_date, {rnd('sum(predicted_demand)', 2)} AS projected_demand FROM forecast GROUP BY 1"),
+        query(f"SELECT forecast_date, {rnd(stable_sum('predicted_demand'), 2)} AS projected_demand FROM forecast GROUP BY 1"),
     ),
     "demand_by_category": (
         lambda s, d: i.rounded(sv.demand_by_category(_with_category(s, d))),
         query(
-            f"""SELECT s.cat_id AS category, {rnd('sum(predicted_demand)', 4)} AS predicted_demand FROM forecast f
+            f"""SELECT s.cat_id AS category, {rnd(stable_sum('predicted_demand'), 4)} AS predicted_demand FROM forecast f
             JOIN (SELECT DISTINCT item_id, store_id, cat_id FROM series) s ON f.item_id = s.item_id AND f.store_id = s.store_id GROUP BY 1"""
         ),
     ),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import inputs as i
+from catalog.forecasts import TREES
 from catalog.sql import query
 from shelfline.operators import quality as q
 from shelfline.plans import jobs
@@ -142,7 +143,7 @@ def _job_etl(spark, d):
 
 
 def _job_all(spark, d):
-    return jobs.job_all(spark, _sources(spark, d), _dataset(spark))["recommendations"]
+    return jobs.job_all(spark, _sources(spark, d), _dataset(spark), trees=TREES)["recommendations"]
 
 
 _BUILT = """SELECT c.date, c.item_id, dept_id, cat_id, c.store_id, state_id, c.sales, p.sell_price FROM cells c LEFT JOIN prices p

@@ -13,6 +13,14 @@ def money_avg(column: str) -> str:
     return f"(CAST(sum(CAST({column} AS DECIMAL(18,6))) AS DOUBLE) / count({column}))"
 
 
+def stable_sum(column: str) -> str:
+    return f"CAST(sum(CAST({column} AS DECIMAL(26,10))) AS DOUBLE)"
+
+
+def stable_avg(column: str) -> str:
+    return f"({stable_sum(column)} / count({column}))"
+
+
 _UNIT = rnd("CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) / sum(l_quantity)", 2)
 _IDS = "id, item_id, dept_id, cat_id, store_id, state_id"
 _DOM = "extract(day FROM date)"
@@ -152,8 +160,8 @@ CTES = {
     "demand": """SELECT store_id, item_id, avg(sales) AS mean_sales, stddev_samp(sales) AS std_sales, count(sales) AS n_rows
         FROM series GROUP BY 1, 2""",
     "stock": "SELECT *, ceil(CAST(1.65 AS DOUBLE) * coalesce(std_sales, 0) * sqrt(7)) AS safety_stock FROM demand",
-    "summary": """SELECT store_id, item_id, sum(predicted_demand) AS total_30d_forecast, avg(predicted_demand) AS avg_daily_forecast
-        FROM forecast GROUP BY 1, 2""",
+    "summary": f"""SELECT store_id, item_id, {stable_sum('predicted_demand')} AS total_30d_forecast,
+        {stable_avg('predicted_demand')} AS avg_daily_forecast FROM forecast GROUP BY 1, 2""",
     "points": """SELECT m.*, coalesce(k.safety_stock, 0) AS safety_stock, round_even(avg_daily_forecast * 7, 2) AS lead_time_demand,
         ceil(round_even(avg_daily_forecast * 7, 2) + coalesce(k.safety_stock, 0)) AS reorder_point
         FROM summary m LEFT JOIN stock k ON m.store_id = k.store_id AND m.item_id = k.item_id""",

@@ -57,6 +57,16 @@ def money_avg(c) -> Column:
     return F.try_divide(F.sum(c.cast("decimal(18,6)")).cast("double"), F.count(c).cast("double"))
 
 
+def stable_sum(c) -> Column:
+    """Sum of doubles that does not depend on row order, so a retried task cannot change it."""
+    return F.sum(as_column(c).cast("decimal(26,10)")).cast("double")
+
+
+def stable_avg(c) -> Column:
+    c = as_column(c)
+    return F.try_divide(stable_sum(c), F.count(c).cast("double"))
+
+
 def monday_zero(c) -> Column:
     """Day of week with Monday = 0."""
     return F.weekday(as_column(c))

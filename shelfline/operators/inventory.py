@@ -7,7 +7,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions import as_column
+from shelfline.functions import as_column, stable_avg, stable_sum
 from shelfline.operators.joins import attach_safety_stock
 from shelfline.schemas import SERIES_KEY
 
@@ -59,7 +59,7 @@ def safety_stock(history: DataFrame, service_level: float = SERVICE_LEVEL, lead_
 
 def forecast_summary(forecast: DataFrame) -> DataFrame:
     return forecast.groupBy(*SERIES_KEY).agg(
-        F.sum("predicted_demand").alias("total_30d_forecast"), F.avg("predicted_demand").alias("avg_daily_forecast")
+        stable_sum("predicted_demand").alias("total_30d_forecast"), stable_avg("predicted_demand").alias("avg_daily_forecast")
     )
 
 
@@ -137,7 +137,7 @@ def price_scenario(forecast: DataFrame, price_change: float) -> DataFrame:
 def attach_scenario_stats(inventory: DataFrame, forecast: DataFrame) -> DataFrame:
     """Mean and deviation of scenario demand per series, with defaults where there is none."""
     stats = forecast.groupBy(*SERIES_KEY).agg(
-        F.avg("predicted_demand").alias("demand_mean"), F.stddev_samp("predicted_demand").alias("demand_std")
+        stable_avg("predicted_demand").alias("demand_mean"), F.stddev_samp("predicted_demand").alias("demand_std")
     )
     stats = stats.withColumn("demand_std", F.coalesce("demand_std", F.col("demand_mean") * STD_SHARE_OF_MEAN))
     return inventory.join(stats, SERIES_KEY, "left").withColumns(

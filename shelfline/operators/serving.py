@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions import round_half_up
+from shelfline.functions import round_half_up, stable_avg, stable_sum
 
 PLAN_COLUMNS = [
     "item_id",
@@ -45,11 +45,11 @@ def daily_history(history: DataFrame) -> DataFrame:
 
 
 def daily_forecast(forecast: DataFrame) -> DataFrame:
-    return forecast.groupBy("forecast_date").agg(round_half_up(F.sum("predicted_demand"), 2).alias("projected_demand"))
+    return forecast.groupBy("forecast_date").agg(round_half_up(stable_sum("predicted_demand"), 2).alias("projected_demand"))
 
 
 def demand_by_category(forecast: DataFrame) -> DataFrame:
-    return forecast.groupBy("category").agg(F.sum("predicted_demand").alias("predicted_demand"))
+    return forecast.groupBy("category").agg(stable_sum("predicted_demand").alias("predicted_demand"))
 
 
 def risk_counts(inventory: DataFrame) -> DataFrame:
@@ -61,9 +61,9 @@ def kpi_summary(forecast: DataFrame, inventory: DataFrame) -> DataFrame:
 
     The two one-row results meet in a union that is summed, not in a product.
     """
-    days = forecast.groupBy("forecast_date").agg(F.sum("predicted_demand").alias("day_total"))
+    days = forecast.groupBy("forecast_date").agg(stable_sum("predicted_demand").alias("day_total"))
     none = F.lit(None)
-    demand = days.agg(F.sum("day_total").alias("total_forecast"), F.avg("day_total").alias("avg_daily_forecast")).select(
+    demand = days.agg(stable_sum("day_total").alias("total_forecast"), stable_avg("day_total").alias("avg_daily_forecast")).select(
         "*", none.cast("bigint").alias("high_risk_count"), none.cast("double").alias("total_order_quantity")
     )
     stock = inventory.agg(

@@ -3,9 +3,10 @@
 `daily_fact`   one row per part, nation and ship date (fine grain).
 `daily_series` one row per part type, region and ship date (dense grain, used for forecasting).
 
-Line items are joined to their store and summed per part before the part table is joined. After
-that sum a single part holds at most (stores x days) rows, so a part that owns a third of all
-line items does not make a skewed join.
+Grouping is done on integer keys and names are joined to the sums. A part that owns a third of all
+line items does not skew the fine grain, because its line items are summed per nation and day
+before the part table is joined; in the dense grain the join on parts is an inner equi-join, whose
+skewed partitions are split at run time, and the sum behind it combines on the map side.
 """
 
 from __future__ import annotations
@@ -33,65 +34,63 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", F.col("n_name").alias("nation"), F.col("r_name").alias("region"))
-    )
-
-
-def _sold(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their supplier's nation; money as whole cents, so sums are exact."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_partkey",
         "l_suppkey",
         F.to_date("l_shipdate").alias("date"),
         "l_quantity",
-        F.col("l_extendedprice").cast("decimal(15,2)").alias("amount"),
-    )
-    return (
-        lines.join(_stores(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("l_partkey", "date", *keys)
-        .agg(F.sum("l_quantity").alias("quantity"), F.sum("amount").alias("amount"))
+        F.floor(F.col("l_extendedprice") * 100 + F.lit(0.5)).alias("cents"),
     )
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
 
 
-def _measures(df: DataFrame) -> list:
-    unit = F.try_divide(F.col("amount").cast("double"), F.col("quantity"))
+def _sums() -> list:
+    return [F.sum("l_quantity").alias("quantity"), F.sum("cents").alias("cents")]
+
+
+def _measures() -> list:
+    unit = F.try_divide(F.col("cents").cast("double") / F.lit(100.0), F.col("quantity"))
     return [F.col("quantity").cast("bigint").alias("sales"), round_half_up(unit, 2).alias("sell_price")]
 
 
 def daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sold = _sold(spark, sf_dir, ["nation", "region"])
+    sold = _lines(spark, sf_dir).groupBy("l_partkey", "s_nationkey", "date").agg(*_sums())
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    return sold.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    nation = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    named = sold.join(part, F.col("l_partkey") == F.col("p_partkey")).join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    return named.select(
         "date",
         F.col("p_partkey").cast("string").alias("item_id"),
         F.col("p_brand").alias("dept_id"),
         F.col("p_type").alias("cat_id"),
-        F.col("nation").alias("store_id"),
-        F.col("region").alias("state_id"),
-        *_measures(sold),
+        F.col("n_name").alias("store_id"),
+        F.col("r_name").alias("state_id"),
+        *_measures(),
     )
 
 
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sold = _sold(spark, sf_dir, ["region"])
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    per_type = (
-        sold.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("date", "p_type", "region")
-        .agg(F.sum("quantity").alias("quantity"), F.sum("amount").alias("amount"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    sold = (
+        _lines(spark, sf_dir)
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy("p_type", "n_regionkey", "date")
+        .agg(*_sums())
     )
-    return per_type.select(
+    kind, region = F.col("p_type"), F.col("r_name")
+    return sold.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
         "date",
-        F.col("p_type").alias("item_id"),
-        F.col("p_type").alias("dept_id"),
-        F.col("p_type").alias("cat_id"),
-        F.col("region").alias("store_id"),
-        F.col("region").alias("state_id"),
-        *_measures(per_type),
+        kind.alias("item_id"),
+        kind.alias("dept_id"),
+        kind.alias("cat_id"),
+        region.alias("store_id"),
+        region.alias("state_id"),
+        *_measures(),
     )
 
 
