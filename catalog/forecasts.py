@@ -8,7 +8,7 @@ from catalog import inputs as i
 from catalog.sql import query, rnd
 from shelfline.functions import round_half_up
 from shelfline.operators import boosted, features as f, forecasting as fc, joins
-from shelfline.plans.jobs import forecast_pipeline
+from shelfline.plans.jobs import job_forecast
 from shelfline.session import scratch_path
 from shelfline.sources import tables
 
@@ -75,11 +75,11 @@ def _recursive(spark, d):
     return boosted.recursive_forecast(model, i.filled(spark, d))
 
 
-def _pipeline(spark, d):
+def _forecast_job(spark, d):
     dataset = f"shelf_{scratch_path(spark, 'db').rsplit('-', 1)[1]}"
-    tables.create_dataset(spark, dataset, scratch_path(spark, "pipeline"))
+    tables.create_dataset(spark, dataset, scratch_path(spark, "forecast-job"))
     tables.write_table(i.series_mart(spark, d), f"{dataset}.{tables.MART}")
-    return forecast_pipeline(spark, dataset, trees=TREES)["forecast"]
+    return job_forecast(spark, dataset, trees=TREES)["forecast"]
 
 
 ENTRIES = {
@@ -184,5 +184,5 @@ ENTRIES = {
     ),
     "boosted_fit_predict": (_boosted, None),
     "recursive_forecast": (_recursive, None),
-    "forecast_pipeline": (_pipeline, None),
+    "job_forecast": (_forecast_job, None),
 }

@@ -64,8 +64,12 @@ def mart(spark, d):
     return rollups.mart_sales_forecasting(daily(spark, d))
 
 
+def dense_daily(spark, d):
+    return rollups.daily_sales(series(spark, d), rollups.stg_calendar(calendar(spark, d)))
+
+
 def series_mart(spark, d):
-    return rollups.mart_sales_forecasting(rollups.daily_sales(series(spark, d), rollups.stg_calendar(calendar(spark, d))))
+    return rollups.mart_sales_forecasting(dense_daily(spark, d))
 
 
 def faulty_daily(spark, d):

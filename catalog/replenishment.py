@@ -140,15 +140,15 @@ ENTRIES = {
         ),
     ),
     "slice_filter": (
-        lambda s, d: sv.slice_filter(i.mart(s, d), store="FRANCE", category="ECONOMY").select("date", "store_id", "item_id", "category", "sales"),
-        query("SELECT date, store_id, item_id, category, sales FROM mart WHERE store_id = 'FRANCE' AND category = 'ECONOMY'"),
+        lambda s, d: sv.slice_filter(i.mart(s, d), store="NATION_20", category="ECONOMY").select("date", "store_id", "item_id", "category", "sales"),
+        query("SELECT date, store_id, item_id, category, sales FROM mart WHERE store_id = 'NATION_20' AND category = 'ECONOMY'"),
     ),
     "filter_options": (
-        lambda s, d: sv.filter_options(i.mart(s, d), store="FRANCE", category="ECONOMY"),
+        lambda s, d: sv.filter_options(i.mart(s, d), store="NATION_20", category="ECONOMY"),
         query(
             """SELECT DISTINCT 'store_id' AS filter, store_id AS value FROM mart UNION ALL
-            SELECT DISTINCT 'category', category FROM mart WHERE store_id = 'FRANCE' UNION ALL
-            SELECT DISTINCT 'item_id', item_id FROM mart WHERE store_id = 'FRANCE' AND category = 'ECONOMY'"""
+            SELECT DISTINCT 'category', category FROM mart WHERE store_id = 'NATION_20' UNION ALL
+            SELECT DISTINCT 'item_id', item_id FROM mart WHERE store_id = 'NATION_20' AND category = 'ECONOMY'"""
         ),
     ),
     "attach_category": (

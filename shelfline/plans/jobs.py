@@ -121,7 +121,7 @@ def forecast_frames(mart: DataFrame, k: int | None = None) -> tuple[DataFrame, D
     return filled, featured, train, validation
 
 
-def forecast_pipeline(
+def job_forecast(
     spark: SparkSession,
     dataset: str,
     k: int | None = None,
@@ -183,6 +183,6 @@ def job_all(
     layers: Layers = materialize_layers(
         spark, spark.table(f"{dataset}.{tb.FACT_TABLE}"), spark.table(f"{dataset}.{tb.CLEAN_CALENDAR}"), dataset
     )
-    forecast = forecast_pipeline(spark, dataset, k, trees=trees)
+    forecast = job_forecast(spark, dataset, k, trees=trees)
     recommendations = job_inventory(spark, dataset)
     return {"etl": etl, "layers": layers, "forecast": forecast, "recommendations": recommendations, "status": etl["status"]}
