@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog import inputs as i
 from catalog.sql import query, rnd
 from shelfline.functions import round_half_up
-from shelfline.operators import boosted, features as f, forecasting as fc, joins
+from shelfline.operators import boosted, features as f, forecasting as fc, joins, piecewise
 from shelfline.plans.jobs import job_forecast
 from shelfline.session import scratch_path
 from shelfline.sources import tables
@@ -182,6 +182,7 @@ ENTRIES = {
             count(*) > 0 AND count(*) FILTER (WHERE predicted_demand < 0 OR predicted_demand IS NULL) = 0 AS passed FROM forecast"""
         ),
     ),
+    "additive_piecewise": (lambda s, d: piecewise.piecewise_fit_predict(*i.split(s, d)), None),
     "boosted_fit_predict": (_boosted, None),
     "recursive_forecast": (_recursive, None),
     "job_forecast": (_forecast_job, None),

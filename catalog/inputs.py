@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from shelfline.functions import round_half_up
 from shelfline.operators import features, forecasting, reshape, rollups
@@ -23,13 +24,18 @@ _written: dict[tuple[str, str, str], str] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, label: str, build) -> DataFrame:
-    """A derived table written once per application to the shared folder, then read from there."""
+    """A derived table written once per application to the shared folder, then read from there.
+    It is written anew when the folder was emptied in between."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _written:
-        path = scratch_path(spark, label)
-        build().write.parquet(path)
-        _written[key] = path
-    return spark.read.parquet(_written[key])
+    if key in _written:
+        try:
+            return spark.read.parquet(_written[key])
+        except AnalysisException:
+            del _written[key]
+    path = scratch_path(spark, label)
+    build().write.parquet(path)
+    _written[key] = path
+    return spark.read.parquet(path)
 
 
 def fact(spark, d):

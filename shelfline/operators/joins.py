@@ -18,8 +18,9 @@ JOIN_ONLY = ["id", "d", "wm_yr_wk"]
 
 def map_dates(long: DataFrame, calendar: DataFrame) -> DataFrame:
     """Date and week key of each day id; the week key of an unknown day is 0."""
-    cal = calendar.select("d", parse_date("date").alias("date"), "wm_yr_wk")
-    return long.join(cal, "d", "left").withColumn("wm_yr_wk", coerce_long("wm_yr_wk"))
+    # Keys are read as numbers in the calendar, so only the null of an unknown day is left to the rows.
+    cal = calendar.select("d", parse_date("date").alias("date"), coerce_long("wm_yr_wk").alias("wm_yr_wk"))
+    return long.join(cal, "d", "left").withColumn("wm_yr_wk", F.coalesce("wm_yr_wk", F.lit(0).cast("bigint")))
 
 
 def join_prices(dated: DataFrame, prices: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import frames
-from shelfline.operators import boosted, features, forecasting as fc, inventory as inv, reshape, serving as sv
+from shelfline.operators import boosted, features, forecasting as fc, inventory as inv, piecewise, reshape, serving as sv
 
 D = dt.date
 
@@ -200,3 +200,22 @@ def test_filters(spark):
     assert sv.slice_filter(mart, store="CA_1", item="H1").count() == 4
     got = {(r["filter"], r["value"]) for r in sv.filter_options(mart, "CA_1", "FOODS").collect()}
     assert got == {("store_id", "CA_1"), ("store_id", "TX_1"), ("category", "FOODS"), ("category", "HOBBIES"), ("item_id", "F1")}
+
+
+def test_piecewise_trend_follows_a_bend(spark):
+    base = D(2021, 1, 1)
+    # Flat, then rising, with a weekly pattern; the straight trend misses the later level.
+    values = [40 + (n % 7) * 3 + max(0, n - 100) for n in range(200)]
+    rows = [(base + dt.timedelta(n), "I", "D", "C", "S", "ST", v, 5.0) for n, v in enumerate(values)]
+    short = [(base, "J", "D", "C", "S", "ST", 3, 5.0), (base + dt.timedelta(180), "J", "D", "C", "S", "ST", 3, 5.0)]
+    train, validation = fc.time_split(frames.fact(spark, rows + short))
+    bent = piecewise.piecewise_fit_predict(train, validation)
+    assert {r.item_id for r in bent.collect()} == {"I"} and bent.count() == 28
+    straight = fc.additive_fit_predict(train, validation)
+
+    def mae(df):
+        return fc.forecast_metrics(df).first().mae
+
+    assert mae(bent) < 3 < mae(straight)
+    future = piecewise.piecewise_future(frames.fact(spark, rows), 7).orderBy("forecast_date").collect()
+    assert len(future) == 7 and future[0].forecast_date == base + dt.timedelta(200)
