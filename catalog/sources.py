@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import inputs as i
 from catalog.forecasts import TREES
+from catalog.quality import ENTRIES as QUALITY
 from catalog.sql import query
 from shelfline.operators import quality as q
 from shelfline.plans import jobs
@@ -181,7 +182,7 @@ ENTRIES = {
     "job_quality": (_job_quality, None),
     "job_transform": (_job_transform, query(_BUILT)),
     "job_prepare": (_job_prepare, query(_BUILT)),
-    "job_validate": (_job_validate, None),
+    "job_validate": (_job_validate, QUALITY["validation_report"][1]),
     "job_etl": (_job_etl, query(_BUILT)),
     "job_all": (_job_all, None),
 }

@@ -11,7 +11,7 @@ import catalog  # noqa: E402
 import compare  # noqa: E402
 
 # Long runs that repeat operators checked here on their own; the compare tool covers them.
-SLOW = {"job_transform", "job_prepare", "job_etl", "scan_sales_wide", "validate_transform", "validation_report", "check_not_null", "ingest_all", "ingest_summary"}
+SLOW = {"job_transform", "job_validate", "job_prepare", "job_etl", "scan_sales_wide", "validate_transform", "validation_report", "check_not_null", "ingest_all", "ingest_summary"}
 TEXTS = catalog.oracle_sql()
 
 
