@@ -24,15 +24,15 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.texts import fresh_name, map_texts, table
 
-Q = 8
+Q = 8  # a power of two
 SEGMENT = 80
 SHORTEST = 24
 EDIT_SHARE = 0.075
 # Segments sent to the tasks at once (about 100 bytes each there); more are searched in further passes.
 BLOCK_SEGMENTS = 50_000
 BITMAP_BITS = 22
-_PRIME = np.uint64(0x9E3779B97F4A7C15)
-_MIX = np.uint64(0xFF51AFD7ED558CCD)
+_FACTORS = {1: np.uint32(0x9E3779B1), 2: np.uint32(0x85EBCA77), 4: np.uint32(0xC2B2AE3D)}
+_MIX = np.uint32(0x27D4EB2F)
 
 
 def folded(text: str) -> np.ndarray:
@@ -40,19 +40,20 @@ def folded(text: str) -> np.ndarray:
     low = text.lower()
     if len(low) != len(text):
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-    codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where((codes == 32) | ((codes >= 9) & (codes <= 13)), np.uint32(32), codes)
+    for blank in "\t\n\x0b\f\r":
+        low = low.replace(blank, " ")
+    return np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def gram_hashes(codes: np.ndarray) -> np.ndarray:
-    n = len(codes) - Q + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    wide, out = codes.astype(np.uint64), np.zeros(n, np.uint64)
-    for j in range(Q):
-        out = out * _PRIME + wide[j : j + n]
-    out ^= out >> np.uint64(32)
-    return out * _MIX
+    """32-bit hashes of the q-grams, each of two hashes of half the length. Equal hashes of different
+    q-grams only add candidates."""
+    if len(codes) < Q:
+        return np.zeros(0, np.uint32)
+    out, reach = codes, 1
+    while reach < Q:
+        out, reach = out[:-reach] * _FACTORS[reach] + out[reach:], 2 * reach
+    return (out ^ (out >> np.uint32(15))) * _MIX
 
 
 def budget(length: int) -> int:
@@ -91,13 +92,26 @@ class Index:
         order = np.argsort(flat, kind="stable")
         self.hashes, self.owner, self.place = flat[order], owner[order], place[order]
         self.bits = np.zeros(1 << BITMAP_BITS, bool)
-        self.bits[self.hashes >> np.uint64(64 - BITMAP_BITS)] = True
+        self.bits[self.hashes >> np.uint32(32 - BITMAP_BITS)] = True
+
+    def _dense(self, at: np.ndarray) -> np.ndarray:
+        """Which places lie among enough others: an occurrence spans at most a segment plus its edits
+        and holds as many shared q-grams, at different places, as the smallest bound asks for."""
+        least, span = int(self.bound.min()), int((self.lengths + self.edits).max())
+        if len(at) < least:
+            return np.zeros(len(at), bool)
+        first = np.flatnonzero(at[least - 1 :] - at[: len(at) - least + 1] < span)
+        steps = np.zeros(len(at) + 1, np.int64)
+        np.add.at(steps, first, 1)
+        np.add.at(steps, first + least, -1)
+        return np.cumsum(steps[:-1]) > 0
 
     def search(self, text: str) -> list[tuple[int, int, int]]:
         """(item, end in the text, edits), each verified; one per band that holds an occurrence."""
         codes = folded(text)
         grams = gram_hashes(codes)
-        at = np.flatnonzero(self.bits[grams >> np.uint64(64 - BITMAP_BITS)])
+        at = np.flatnonzero(self.bits[grams >> np.uint32(32 - BITMAP_BITS)])
+        at = at[self._dense(at)]
         if not len(at):
             return []
         low = np.searchsorted(self.hashes, grams[at], "left")
