@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from shelfline.llm import bpe, weak_rules
+from shelfline.llm import bpe, fixity, hyper_lang, leaks, minhash, repeats, secrets, site_lines, toxicity, weak_rules
 
 QUERIES = {
+    "op1_trigram_secrets": secrets.op1_trigram_secrets,
+    "op2_merkle_fixity": fixity.op2_merkle_fixity,
+    "op3_site_lines": site_lines.op3_site_lines,
+    "op4_qgram_leaks": leaks.op4_qgram_leaks,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op6_hyper_lang": hyper_lang.op6_hyper_lang,
+    "op7_bbit_minhash": minhash.op7_bbit_minhash,
     "op8_weak_rules": weak_rules.op8_weak_rules,
     "op9_bpe": bpe.op9_bpe,
+    "op10_suffix_repeats": repeats.op10_suffix_repeats,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_merkle_fixity": fixity.OP2_SQL,
+    "op3_site_lines": site_lines.OP3_SQL,
+}
