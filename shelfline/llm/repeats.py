@@ -9,9 +9,10 @@ repeats. Equal segments are reduced to one before sorting, and whole copies of a
 aside before anything else. A 16-gram with more than HOT_ROWS segments is not gathered at all: its
 strings are compared by digests in an ordinary aggregate, which spreads them.
 
-Order is by doc_id, then by a hash of the text, then by place. Cases: null text counts as empty; rows
-equal in doc_id and text are one document and get the same result; rows without doc_id are left
-whole and unused; texts shorter than LENGTH are left whole; an empty table gives an empty result.
+Order is by doc_id, then by place. Cases: null text counts as empty; rows equal in doc_id and text are
+one document and get the same result; of rows that share a doc_id but not the text, one takes part
+(by a hash of the text) and the others are left whole, as are rows without doc_id and texts shorter
+than LENGTH; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,18 +35,19 @@ WINDOW = LENGTH - GRAM + 1
 PIECE = 1 << 20
 BLOCK_BYTES = 1 << 20
 HOT_ROWS = 100_000
+COPY, ASIDE = 1, 2
 _FACTORS = {1: np.uint32(0x9E3779B1), 2: np.uint32(0x85EBCA77), 4: np.uint32(0xC2B2AE3D), 8: np.uint32(0x27D4EB2F)}
 
 
 def segments(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(64-bit hash of the 16-gram, first and end of the string starts that have it as smallest, and
-    at how many places in a row it is that, over 1 where the text repeats itself at once)."""
+    """(64-bit hash of the 16-gram, first and number of the string starts that have it as smallest,
+    and at how many places in a row it is that, over 1 where the text repeats itself at once)."""
     parts = [_segments(data[s : s + PIECE + LENGTH - 1]) for s in range(0, max(len(data) - LENGTH + 1, 0), PIECE)]
     if not parts:
         return np.zeros(0, np.int64), *(np.zeros(0, np.int32) for _ in range(3))
     shift = np.repeat(np.arange(len(parts)) * PIECE, [len(p[0]) for p in parts])
-    keys, first, end, runs = (np.concatenate(x) for x in zip(*parts))
-    return keys.view(np.int64), (first + shift).astype(np.int32), (end + shift).astype(np.int32), runs.astype(np.int32)
+    keys, first, size, runs = (np.concatenate(x) for x in zip(*parts))
+    return keys.view(np.int64), (first + shift).astype(np.int32), size.astype(np.int32), runs.astype(np.int32)
 
 
 def _segments(data: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -70,23 +72,22 @@ def _segments(data: np.ndarray) -> tuple[np.ndarray, ...]:
     keys = mixed(mixed(halves[0]) + halves[1])
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))  # neighbours of equal hash are one
     ends = np.append(starts[1:], len(place))
-    return keys[new], starts[new], np.append(ends[new[1:] - 1], ends[-1]), np.diff(np.append(new, len(keys)))
+    return keys[new], starts[new], np.append(ends[new[1:] - 1], ends[-1]) - starts[new], np.diff(np.append(new, len(keys)))
 
 
 def _segment_rows(base: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
-                keys, first, end, runs = segments(np.frombuffer(text.encode(), np.uint8))
+            for doc, text, state in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "state"))):
+                if doc is None or state is not None:
+                    continue
+                keys, first, size, runs = segments(np.frombuffer(text.encode(), np.uint8))
                 if len(keys):
-                    n = len(keys)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (keys, np.full(n, doc, np.int64), np.full(n, key, np.int64), first, end, runs)],
-                        ["gram", "doc_id", "text_key", "first", "end", "runs"],
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, np.full(len(keys), doc, np.int64), first, size, runs)], ["gram", "doc_id", "first", "size", "runs"])
 
-    rows = base.where("copy IS NULL AND doc_id IS NOT NULL").select("doc_id", "text_key", "text")
-    return rows.mapInArrow(_joined(run), "gram bigint, doc_id bigint, text_key bigint, first int, end int, runs int")
+    # Rows are left out above and not by a filter, which would move below the shuffle of the documents
+    # and keep it from being shared with the other parts of the plan.
+    return base.select("doc_id", "text", "state").mapInArrow(_joined(run), "gram bigint, doc_id bigint, first int, size int, runs int")
 
 
 def _joined(run, rows: int = 20_000):
@@ -107,68 +108,73 @@ def _joined(run, rows: int = 20_000):
 
 
 def _base(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, text and `copy` (1 for a whole copy of an earlier document)."""
+    """doc_id, text and `state`: COPY for a whole copy of an earlier document, ASIDE for a row whose
+    doc_id stands for another text."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("text_key", F.xxhash64("text"))
     long_rows = rows.where((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
-    digests = cut_lineage(long_rows.select("doc_id", "text_key", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")).distinct())
+    digests = cut_lineage(long_rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")).distinct())
     firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1")
-    copies = digests.join(firsts.select("digest", "first"), "digest").where("doc_id <> first").select("doc_id", "text_key", F.lit(1).alias("copy"))
-    return rows.join(cut_lineage(copies), ["doc_id", "text_key"], "left")
+    copies = digests.join(firsts, "digest").where("doc_id <> first").select("doc_id", "text_key", F.lit(COPY).alias("state"))
+    double = digests.groupBy("doc_id").agg(F.min("text_key").alias("used"), F.count("*").alias("rows")).where("rows > 1")
+    aside = digests.join(double, "doc_id").where("text_key <> used").select("doc_id", "text_key", F.lit(ASIDE).alias("state"))
+    states = copies.unionByName(aside).groupBy("doc_id", "text_key").agg(F.min("state").alias("state"))
+    states = cut_lineage(states.groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("text_key", "state"))).alias("states")))
+    joined = rows.join(states, "doc_id", "left")
+    return joined.select("doc_id", "text", F.when(F.col("states").isNotNull(), F.element_at("states", F.xxhash64("text"))).alias("state"))
 
 
 def _contexts(base: DataFrame, marks: DataFrame) -> DataFrame:
-    """Marked segments with their bytes: the strings that start in first..end, whole."""
-    lists = marks.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("gram", "first", "end", "runs")).alias("marks"))
-    rows = base.join(lists, ["doc_id", "text_key"], "left")
+    """Marked segments with their bytes: the strings that start in them, whole."""
+    lists = marks.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "first", "size", "runs")).alias("marks"))
+    rows = base.join(lists, "doc_id", "left")
 
     def run(batches):
         for batch in batches:
-            columns = {n: batch.column(n).to_pylist() for n in ("doc_id", "text_key", "text")}
+            docs, texts, states = (batch.column(n).to_pylist() for n in ("doc_id", "text", "state"))
             lists = batch.column("marks")
             for i in range(batch.num_rows):
-                if not lists[i].is_valid:
+                if not lists[i].is_valid or states[i] is not None:
                     continue
-                flat, data = lists[i].values, columns["text"][i].encode()
-                first, end = flat.field("first"), flat.field("end")
-                bytes_of = [data[a : b + LENGTH - 1] for a, b in zip(first.to_pylist(), end.to_pylist())]
-                n = len(bytes_of)
-                doc, key = (pa.array(np.full(n, columns[c][i], np.int64)) for c in ("doc_id", "text_key"))
-                yield pa.RecordBatch.from_arrays([flat.field("gram"), doc, key, first, end, flat.field("runs"), pa.array(bytes_of, pa.binary())], ["gram", "doc_id", "text_key", "first", "end", "runs", "data"])
+                flat, data = lists[i].values, texts[i].encode()
+                first, size = flat.field("first"), flat.field("size")
+                bytes_of = [data[a : a + n + LENGTH - 1] for a, n in zip(first.to_pylist(), size.to_pylist()) if a + n + LENGTH - 1 <= len(data)]
+                if len(bytes_of) < len(first):
+                    continue  # a short row that shares its doc_id with the marked one
+                doc = pa.array(np.full(len(bytes_of), docs[i], np.int64))
+                yield pa.RecordBatch.from_arrays([flat.field("gram"), doc, first, size, flat.field("runs"), pa.array(bytes_of, pa.binary())], ["gram", "doc_id", "first", "size", "runs", "data"])
 
-    rows = rows.select("doc_id", "text_key", "text", "marks")
-    return rows.mapInArrow(_joined(run), "gram bigint, doc_id bigint, text_key bigint, first int, end int, runs int, data binary")
+    rows = rows.select("doc_id", "text", "state", "marks")
+    return rows.mapInArrow(_joined(run), "gram bigint, doc_id bigint, first int, size int, runs int, data binary")
 
 
 class _Sorter:
     """Blocks of different segments; `flush` returns the repeats among their strings."""
 
     def __init__(self):
-        self.rows: list[tuple[int, int, int, int, bytes]] = []
+        self.rows: list[tuple[int, int, int, bytes]] = []  # doc_id, first, size, bytes
         self.size = 0
 
-    def add(self, rows: list[tuple[int, int, int, int, bytes]]) -> None:
+    def add(self, rows: list[tuple[int, int, int, bytes]]) -> None:
         self.rows += rows
-        self.size += sum(len(r[4]) for r in rows)
+        self.size += sum(len(r[3]) for r in rows)
 
-    def flush(self) -> list[tuple[int, int, int, int]]:
+    def flush(self) -> list[tuple[int, int, int]]:
         rows, self.rows, self.size = self.rows, [], 0
         if not rows:
             return []
-        text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
-        lengths = np.array([len(r[4]) for r in rows])
+        text = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+        lengths = np.array([len(r[3]) for r in rows])
         begins = np.cumsum(lengths) - lengths
         owner = np.repeat(np.arange(len(rows)), lengths)
         offset = np.arange(len(text)) - begins[owner]
-        strings = np.array([r[3] - r[2] for r in rows])
+        strings = np.array([r[2] for r in rows])
         needed = offset < strings[owner]
         words = words_of(np.concatenate([text, np.array([0, 1], np.uint8)]), LENGTH)
         order = suffix_order(text, needed, LENGTH, words)
         group = np.cumsum(common_prefixes(order, words, LENGTH) < LENGTH) - 1
-        ranked = {x: i for i, x in enumerate(sorted({r[:2] for r in rows}))}
-        rank = np.array([ranked[r[:2]] for r in rows], np.int64)
-        firsts = np.array([r[2] for r in rows], np.int64)
-        when = (rank[owner[order]] << 32) | (firsts[owner[order]] + offset[order])
+        _, rank = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)
+        firsts = np.array([r[1] for r in rows], np.int64)
+        when = (rank.astype(np.int64)[owner[order]] << 32) | (firsts[owner[order]] + offset[order])
         heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         earliest = np.minimum.reduceat(when, heads)
         again = np.sort(order[when != earliest[group]])
@@ -176,28 +182,28 @@ class _Sorter:
             return []
         cut = np.flatnonzero((np.diff(again) != 1) | (np.diff(owner[again]) != 0)) + 1
         begin, last = again[np.concatenate([[0], cut])], again[np.concatenate([cut - 1, [len(again) - 1]])]
-        return [(*rows[o][:2], int(rows[o][2] + offset[a]), int(rows[o][2] + offset[b] + LENGTH)) for o, a, b in zip(owner[begin].tolist(), begin.tolist(), last.tolist())]
+        return [(rows[o][0], int(rows[o][1] + offset[a]), int(rows[o][1] + offset[b] + LENGTH)) for o, a, b in zip(owner[begin].tolist(), begin.tolist(), last.tolist())]
 
 
 def _repeats(contexts: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, end) of bytes covered by repeats, from segments gathered by 16-gram."""
+    """(doc_id, start, end) of bytes covered by repeats, from segments gathered by 16-gram."""
 
     def run(batches):
         sorter, gram, kept, seen, single = _Sorter(), None, [], set(), True
         for batch in batches:
-            found: list[tuple[int, int, int, int]] = []
-            for g, runs, *row in zip(*(batch.column(c).to_pylist() for c in ("gram", "runs", "doc_id", "text_key", "first", "end", "data"))):
+            found: list[tuple[int, int, int]] = []
+            for g, runs, *row in zip(*(batch.column(c).to_pylist() for c in ("gram", "runs", "doc_id", "first", "size", "data"))):
                 if g != gram:
                     if not single:
                         sorter.add(kept)
                         if sorter.size >= BLOCK_BYTES:
                             found += sorter.flush()
                     gram, kept, seen, single = g, [], set(), True
-                if row[4] in seen:  # rows come in order, so an equal segment was earlier
-                    found.append((row[0], row[1], row[2], row[3] + LENGTH - 1))
+                if row[3] in seen:  # rows come in order, so an equal segment was earlier
+                    found.append((row[0], row[1], row[1] + row[2] + LENGTH - 1))
                 else:
                     single = not kept and runs == 1  # one segment that does not repeat itself
-                    seen.add(row[4])
+                    seen.add(row[3])
                     kept.append(tuple(row))
             if found:
                 yield _ranges(found)
@@ -205,13 +211,13 @@ def _repeats(contexts: DataFrame) -> DataFrame:
             sorter.add(kept)
         yield _ranges(sorter.flush())
 
-    rows = contexts.repartition("gram").sortWithinPartitions("gram", "doc_id", "text_key", "first")
-    return rows.mapInArrow(run, "doc_id bigint, text_key bigint, start int, end int")
+    rows = contexts.repartition("gram").sortWithinPartitions("gram", "doc_id", "first")
+    return rows.mapInArrow(run, "doc_id bigint, start int, end int")
 
 
-def _ranges(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], k) for i, k in enumerate(kinds)], ["doc_id", "text_key", "start", "end"])
+def _ranges(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], k) for i, k in enumerate(kinds)], ["doc_id", "start", "end"])
 
 
 def _hot_repeats(contexts: DataFrame) -> DataFrame:
@@ -219,15 +225,14 @@ def _hot_repeats(contexts: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for doc, key, first, end, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "first", "end", "data"))):
-                digests = [hashlib.blake2b(data[i : i + LENGTH], digest_size=16).digest() for i in range(end - first)]
-                n = len(digests)
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), *(pa.array(np.full(n, x, np.int64)) for x in (doc, key)), pa.array(np.arange(first, end, dtype=np.int32))], ["digest", "doc_id", "text_key", "start"])
+            for doc, first, size, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "first", "size", "data"))):
+                digests = [hashlib.blake2b(data[i : i + LENGTH], digest_size=16).digest() for i in range(size)]
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(np.full(size, doc, np.int64)), pa.array(np.arange(first, first + size, dtype=np.int32))], ["digest", "doc_id", "start"])
 
-    rows = contexts.mapInArrow(_joined(run), "digest binary, doc_id bigint, text_key bigint, start int")
-    earliest = rows.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key", "start")).alias("earliest"), F.count("*").alias("rows")).where("rows > 1")
-    again = rows.join(earliest, "digest").where(F.struct("doc_id", "text_key", "start") != F.col("earliest"))
-    return again.select("doc_id", "text_key", "start", (F.col("start") + LENGTH).alias("end"))
+    rows = contexts.mapInArrow(_joined(run), "digest binary, doc_id bigint, start int")
+    earliest = rows.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("earliest"), F.count("*").alias("rows")).where("rows > 1")
+    again = rows.join(earliest, "digest").where(F.struct("doc_id", "start") != F.col("earliest"))
+    return again.select("doc_id", "start", (F.col("start") + LENGTH).alias("end"))
 
 
 def without_repeats(docs: DataFrame, hot_rows: int = HOT_ROWS, kept: bool = False) -> DataFrame:
@@ -240,17 +245,18 @@ def without_repeats(docs: DataFrame, hot_rows: int = HOT_ROWS, kept: bool = Fals
     marked = rows.join(counts, "gram")  # a 16-gram at one place only cannot be part of a repeat
     usual = _repeats(_contexts(base, marked.where(F.col("rows") <= hot_rows)))
     hot = _hot_repeats(_contexts(base, marked.where(F.col("rows") > hot_rows)))
-    ranges = usual.unionByName(hot).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    joined = base.join(ranges, ["doc_id", "text_key"], "left").select("doc_id", "text", "copy", "ranges")
+    ranges = usual.unionByName(hot).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    joined = base.join(ranges, "doc_id", "left").select("doc_id", "text", "state", "ranges")
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * kept
 
     def run(batches):
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
             lists = batch.column("ranges")
-            for i, (text, copy) in enumerate(zip(batch.column("text").to_pylist(), batch.column("copy").to_pylist())):
+            for i, (text, state) in enumerate(zip(batch.column("text").to_pylist(), batch.column("state").to_pylist())):
                 data = text.encode()
-                spans = [(0, len(data))] if copy else merged(lists[i].values) if lists[i].is_valid else []
+                usable = lists[i].is_valid and state is None and len(data) >= LENGTH
+                spans = [(0, len(data))] if state == COPY else merged(lists[i].values) if usable else []
                 rest, at = [], 0
                 for start, end in spans:
                     rest.append(data[at:start])
