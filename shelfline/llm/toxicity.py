@@ -2,8 +2,8 @@
 
 Features of a text: densities of a learned lexicon and of its use near second-person words, of
 capitals, punctuation and obfuscated spellings. The lexicon holds the words that most separate
-toxic from other training documents; all training documents are counted. The trees are fitted on
-one part of the training rows, the calibration on the rest.
+toxic from other training documents. The trees are fitted on one part of the training rows, the
+calibration on the rest.
 
 Cases: null text counts as empty and gets a score like any other text; rows without a label, or
 with a null one, do not train. With no training rows of both labels the score is the share of toxic
@@ -29,9 +29,10 @@ from shelfline.llm.hyper_lang import remainder
 from shelfline.llm.texts import fresh_name, map_texts, table
 from shelfline.session import cut_lineage
 
-# The trees and the calibration are fitted on at most this many labelled rows, taken by the order
-# of a hash of doc_id; lexicon counts cover all of them.
+# Lexicon, trees and calibration are fitted on at most this many labelled rows, the first ones in
+# order of a hash of doc_id.
 FIT_ROWS = 20_000
+FIT_PARTS = 8  # tasks that hold them
 LEXICON_WORDS = 300
 LEXICON_MIN_DOCS = 5
 CANDIDATES = 3000
@@ -175,13 +176,13 @@ def calibrated(calibration: tuple[list[float], list[float]], odds: str):
 def fit(training: DataFrame) -> Model:
     """training: doc_id, text, toxic. See the module for its parts."""
     rows = training.where("toxic IN (0, 1)").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    rows = cut_lineage(rows).coalesce(FIT_PARTS)  # stored from all tasks; only FIT_ROWS rows are left
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(totals) < 2:
         return Model({}, None, None, float(max(totals, default=0)))
     known = lexicon(rows)
-    order = F.xxhash64(F.col("doc_id"))
-    sample = rows.orderBy(order, "doc_id", "text").limit(FIT_ROWS)
-    sample = cut_lineage(with_features(sample, known, "features").select("toxic", F.pmod(order, F.lit(3)).alias("part"), array_to_vector("features").alias("vector")))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("part")
+    sample = cut_lineage(with_features(rows, known, "features").select("toxic", part, array_to_vector("features").alias("vector")))
     trees = GBTClassifier(featuresCol="vector", labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, seed=7, cacheNodeIds=False)
     model = trees.fit(sample.where("part > 0"))
     odds = model.transform(sample.where("part = 0")).select(F.col("toxic").cast("double").alias("label"), vector_to_array("rawPrediction")[1].alias("odds"))
@@ -193,9 +194,11 @@ def fit(training: DataFrame) -> Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows: documents with a label whose fold is not 0."""
-    marks = labels.select("doc_id", "toxic").distinct()
-    return docs.select("doc_id", "text").where(remainder(5) != 0).join(marks, "doc_id")
+    """Training rows: at most FIT_ROWS documents with a label whose fold is not 0. The chosen labels,
+    ids and marks only, are broadcast, so no text is shuffled."""
+    marks = labels.where((remainder(5) != 0) & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
+    chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(FIT_ROWS)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
