@@ -46,9 +46,11 @@ def clean_text(c) -> Column:
 
 
 def round_half_up(c, digits: int) -> Column:
-    """Rounding on plain double arithmetic, so two engines agree on ties."""
-    scale = F.lit(float(10**digits))
-    return F.floor(as_column(c) * scale + F.lit(0.5)).cast("double") / scale
+    """Rounding on plain double arithmetic, so two engines agree on ties. NaN, infinities and numbers
+    too large to have digits left to round stay as they are."""
+    scale, x = F.lit(float(10**digits)), as_column(c)
+    rounded = F.floor(x * scale + F.lit(0.5)).cast("double") / scale
+    return F.when(F.abs(x) * scale >= F.lit(2.0**53), x.cast("double")).otherwise(rounded)  # NaN counts as largest
 
 
 def money_avg(c) -> Column:

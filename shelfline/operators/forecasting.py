@@ -165,13 +165,17 @@ def forecast_metrics(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy(F.col("model_name").alias("model")).agg(
         round_half_up(F.avg(miss), 4).alias("mae"),
         round_half_up(F.sqrt(F.avg((y - p) * (y - p))), 4).alias("rmse"),
-        F.coalesce(round_half_up(smape, 2), F.lit(0.0)).alias("smape"),
+        F.coalesce(round_half_up(smape, 2), F.lit(0.0)).alias("smape"),  # null: no pair above the floor
     )
 
 
 def pick_winner(metrics: DataFrame) -> DataFrame:
-    """The model with the lowest RMSE; the name decides a tie."""
-    return metrics.agg(F.min_by("model", F.struct("rmse", "model")).alias("model"))
+    """The model with the lowest RMSE; the name decides a tie. NaN and null rank behind every number."""
+    return metrics.agg(F.min_by("model", _rank()).alias("model"))
+
+
+def _rank() -> Column:
+    return F.struct(F.coalesce("rmse", F.lit(float("nan"))).alias("rmse"), "model")
 
 
 def evaluate_models(*predictions: DataFrame) -> DataFrame:
@@ -185,7 +189,7 @@ def evaluate_models(*predictions: DataFrame) -> DataFrame:
     # One pass over the predictions; the flag comes from the one-row-per-model result.
     scored = forecast_metrics(stacked).agg(
         F.collect_list(F.struct("model", "mae", "rmse", "smape")).alias("models"),
-        F.min_by("model", F.struct("rmse", "model")).alias("best"),
+        F.min_by("model", _rank()).alias("best"),
     )
     return scored.select(F.explode("models").alias("m"), "best").select("m.*", (F.col("m.model") == F.col("best")).alias("is_best_model"))
 
