@@ -51,6 +51,24 @@ FACT = T.StructType(
     ]
 )
 
+_MART_TEXTS = ["item_id", "store_id", "state_id", "category", "cat_id", "department", "dept_id"]
+_EVENTS = [f"event_{kind}_{slot}" for slot in (1, 2) for kind in ("name", "type")]
+MART = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("sales_date", T.DateType()),
+        *[T.StructField(c, T.StringType()) for c in _MART_TEXTS],
+        T.StructField("sales", T.LongType()),
+        T.StructField("sell_price", T.DoubleType()),
+        T.StructField("wm_yr_wk", T.LongType()),
+        T.StructField("weekday", T.StringType()),
+        *[T.StructField(c, T.IntegerType()) for c in ("day_of_week", "month", "year")],
+        T.StructField("day_id", T.StringType()),
+        *[T.StructField(c, T.StringType()) for c in _EVENTS],
+        *[T.StructField(c, T.IntegerType()) for c in ("snap_ca", "snap_tx", "snap_wi")],
+    ]
+)
+
 FORECAST = T.StructType(
     [
         T.StructField("forecast_date", T.DateType()),
@@ -95,9 +113,8 @@ REQUIRED = {
 
 
 def sales_wide(day_columns: list[str]) -> T.StructType:
-    """Schema of the wide sales file for a given list of day columns."""
-    ids = [T.StructField(name, T.StringType()) for name in ID_COLUMNS]
-    return T.StructType(ids + [T.StructField(name, T.IntegerType()) for name in day_columns])
+    """Schema of the wide sales file for a given list of day columns; cells are text in the file."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in [*ID_COLUMNS, *day_columns]])
 
 
 def require_columns(df, table: str) -> None:

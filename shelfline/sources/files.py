@@ -16,10 +16,19 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, keep_b
     if fmt == "parquet":
         df = spark.read.parquet(path)
         return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields if f.name in df.columns])
+    # The file's own header gives the order; columns it has beyond the schema are left out.
+    header = spark.read.option("header", True).csv(path).columns
+    if missing := [f.name for f in schema.fields if f.name not in header]:
+        raise ValueError(f"{path}: missing columns {missing}")
+    known = {f.name: f.dataType for f in schema.fields}
+    present = [T.StructField(name, known.get(name, T.StringType())) for name in header]
+    wanted = [f.name for f in schema.fields]
     if keep_bad_rows:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+        present.append(T.StructField(CORRUPT, T.StringType()))
+        wanted.append(CORRUPT)
+    reader = spark.read.schema(T.StructType(present)).option("header", True).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return rows.selectExpr(*[f"`{name}`" for name in wanted])
 
 
 def scan_calendar(spark: SparkSession, path: str, fmt: str = "csv", keep_bad_rows: bool = False) -> DataFrame:
@@ -31,10 +40,14 @@ def scan_prices(spark: SparkSession, path: str, fmt: str = "csv", keep_bad_rows:
 
 
 def scan_sales_wide(spark: SparkSession, path: str, fmt: str = "csv", keep_bad_rows: bool = False) -> DataFrame:
-    """The day columns come from the header, so only the first line is read to plan the scan."""
+    """The day columns come from the header, so only the first line is read to plan the scan. Cells
+    are read as text and then converted, so `3.0` and counts beyond 32 bits keep their units."""
     header = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
     days = [c for c in header.columns if c.startswith(DAY_PREFIX)]
-    return _read(spark, path, sales_wide(days), fmt, keep_bad_rows)
+    rows = _read(spark, path, sales_wide(days), fmt, keep_bad_rows)
+    cell = "coalesce(try_cast(`{0}` AS bigint), try_cast(try_cast(`{0}` AS double) AS bigint)) AS `{0}`"
+    chosen = set(days)
+    return rows.selectExpr(*[cell.format(c) if c in chosen else f"`{c}`" for c in rows.columns])
 
 
 def load_sources(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:

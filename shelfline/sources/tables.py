@@ -6,12 +6,14 @@ import time
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from shelfline.schemas import FACT, FORECAST, METRICS, RECOMMENDATIONS
+from shelfline.schemas import MART as MART_SHAPE
 
 # Names of the stored tables.
 RAW_CALENDAR = "raw_calendar"
@@ -28,6 +30,8 @@ MART = "mart_sales_forecasting"
 FORECASTS = "forecast_results"
 EVALUATION = "model_evaluation_metrics"
 INVENTORY = "inventory_recommendations"
+# Error conditions that say a table or path is not there.
+ABSENT = {"TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND", "PATH_NOT_FOUND"}
 
 
 def create_dataset(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -63,9 +67,9 @@ def write_table(
     writer.saveAsTable(name)
 
 
-def alias_view(spark: SparkSession, alias: str, name: str) -> None:
-    """A second name for a table, without a second copy."""
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {alias} AS SELECT * FROM {name}")
+def alias_view(spark: SparkSession, dataset: str, alias: str, name: str) -> None:
+    """A second name for a table of the same dataset, without a second copy."""
+    spark.sql(f"CREATE OR REPLACE VIEW {dataset}.{alias} AS SELECT * FROM {dataset}.{name}")
 
 
 def verify_table(spark: SparkSession, name: str, sample_limit: int = 5) -> dict:
@@ -83,14 +87,16 @@ def count_union(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def first_non_empty(candidates: list[Callable[[], DataFrame]]) -> DataFrame:
-    """First candidate that can be read and has a row. `isEmpty` stops at the first row found."""
+    """First candidate that exists and has a row. `isEmpty` stops at the first row found. Any error
+    other than an absent table or path is raised."""
     for read in candidates:
         try:
             df = read()
             if not df.isEmpty():
                 return df
-        except AnalysisException:
-            continue
+        except AnalysisException as error:
+            if error.getCondition() not in ABSENT:
+                raise
     raise ValueError("no candidate table exists with rows")
 
 
@@ -111,7 +117,7 @@ def read_snapshot(spark: SparkSession, table: str, parquet_path: str, csv_path:
 
 def scan_serving(spark: SparkSession, dataset: str) -> dict[str, DataFrame]:
     """The four output tables; a missing one becomes an empty frame of its declared shape."""
-    shapes = {MART: FACT, FORECASTS: FORECAST, INVENTORY: RECOMMENDATIONS, EVALUATION: METRICS}
+    shapes = {MART: MART_SHAPE, FORECASTS: FORECAST, INVENTORY: RECOMMENDATIONS, EVALUATION: METRICS}
     out = {}
     for name, shape in shapes.items():
         full = f"{dataset}.{name}"
@@ -120,15 +126,23 @@ def scan_serving(spark: SparkSession, dataset: str) -> dict[str, DataFrame]:
 
 
 def ingest_all(spark: SparkSession, sources: dict[str, DataFrame], dataset: str) -> DataFrame:
-    """Store the raw inputs and report (table_name, success, row_count, elapsed_sec)."""
+    """Store the raw inputs and report (table_name, success, row_count, elapsed_sec).
+
+    An input that is missing or cannot be read or stored is reported with success false and no
+    rows; the others are stored all the same."""
     create_dataset(spark, dataset)
     rows = []
     for source, name in (("calendar", RAW_CALENDAR), ("sales", RAW_SALES), ("prices", RAW_PRICES)):
-        started = time.time()
-        write_table(sources[source], f"{dataset}.{name}")
-        stored = spark.table(f"{dataset}.{name}").count()
-        rows.append((name, True, stored, round(time.time() - started, 2)))
-    alias_view(spark, RAW_SALES_ALIAS, f"{dataset}.{RAW_SALES}")
+        started, stored, success = time.time(), 0, source in sources
+        try:
+            if success:
+                write_table(sources[source], f"{dataset}.{name}")
+                stored = spark.table(f"{dataset}.{name}").count()
+        except PySparkException:
+            success = False
+        rows.append((name, success, stored, round(time.time() - started, 2)))
+        if success and name == RAW_SALES:
+            alias_view(spark, dataset, RAW_SALES_ALIAS, RAW_SALES)
     return spark.createDataFrame(rows, "table_name string, success boolean, row_count bigint, elapsed_sec double")
 
 
