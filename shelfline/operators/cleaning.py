@@ -10,13 +10,17 @@ from shelfline.functions import clean_text, coerce_long, to_number
 from shelfline.operators.keep import dedup_first
 from shelfline.schemas import ID_COLUMNS, PRICE_KEY, day_columns
 
+# Calendar columns to convert.
 WHOLE_NUMBERS = ["wm_yr_wk", "wday", "month", "year", "snap_CA", "snap_TX", "snap_WI"]
 TEXTS = ["weekday", "d", "event_name_1", "event_type_1", "event_name_2", "event_type_2"]
+# A full date, alone or before a time. A bare year or a bare time is no date.
+DATE_SHAPE = r"^\s*\d{4}-\d{1,2}-\d{1,2}(\s*$|[ T])"
 
 
 def parse_date(c):
     """Date from a date, a timestamp or ISO text; unreadable text becomes null."""
-    return F.to_date(F.col(c).try_cast("timestamp"))
+    text = F.col(c).cast("string")
+    return F.when(text.rlike(DATE_SHAPE), F.to_date(F.trim(text).try_cast("timestamp")))
 
 
 def clean_calendar(df: DataFrame) -> DataFrame:

@@ -128,13 +128,14 @@ def _nulls(*columns: str) -> Column:
 
 def dq_calendar(df: DataFrame) -> DataFrame:
     """Audit of a raw calendar. The event coverage check always passes and counts nothing."""
-    date, year = F.col("date"), F.col("year")
+    date, year = F.col("date"), to_number("year")
     low, high = YEAR_RANGE
+    unreadable_year = F.col("year").isNotNull() & year.isNull()
     counts = df.agg(
         _nulls("date").alias("missing"),
         F.count_if(date.isNotNull() & parse_date("date").isNull()).alias("unreadable"),
         _nulls("weekday").alias("weekday"),
-        F.count_if((year < low) | (year > high)).alias("year"),
+        F.count_if(unreadable_year | (year < low) | (year > high)).alias("year"),
         F.count_if(outside_domain("event_type_1", EVENT_TYPES)).alias("event"),
         F.lit(0).alias("coverage"),
     )
@@ -184,11 +185,13 @@ def dq_prices(df: DataFrame) -> DataFrame:
 
 
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, min_value, max_value, mean_value) of numeric columns, one pass."""
+    """(column_name, min_value, max_value, mean_value) of number columns, also those kept as text
+    (what cannot be read is left out), one pass."""
     entries = []
     aggregates = []
     for i, c in enumerate(columns):
-        aggregates += [F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}"), F.avg(c).alias(f"mean{i}")]
+        number = to_number(c)
+        aggregates += [F.min(number).alias(f"lo{i}"), F.max(number).alias(f"hi{i}"), F.avg(number).alias(f"mean{i}")]
         entries.append(
             F.struct(
                 F.lit(c).alias("column_name"),
