@@ -11,7 +11,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.operators import boosted, cleaning, features, forecasting, inventory, joins, keep, quality, reshape
+from shelfline.operators import boosted, cleaning, features, forecasting, inventory, joins, keep, quality, reshape, rollups
 from shelfline.plans.layers import Layers, materialize_layers
 from shelfline.schemas import require_columns
 from shelfline.session import scratch_path
@@ -36,7 +36,7 @@ def job_quality(spark: SparkSession, dataset: str, report_path: str | None = Non
         write_report(quality.render_checks(checks, shapes), report_path)
     tb.write_table(cleaning.clean_calendar(calendar), f"{dataset}.{tb.CLEAN_CALENDAR}", sort_by=["date"])
     tb.write_table(cleaning.clean_sales(sales), f"{dataset}.{tb.CLEAN_SALES}", sort_by=["store_id", "item_id"])
-    tb.alias_view(spark, tb.CLEAN_SALES_ALIAS, f"{dataset}.{tb.CLEAN_SALES}")
+    tb.alias_view(spark, dataset, tb.CLEAN_SALES_ALIAS, tb.CLEAN_SALES)
     tb.write_table(cleaning.clean_prices(prices), f"{dataset}.{tb.CLEAN_PRICES}", sort_by=["store_id", "item_id", "wm_yr_wk"])
     names = (tb.CLEAN_CALENDAR, tb.CLEAN_SALES, tb.CLEAN_PRICES)
     return {
@@ -47,10 +47,10 @@ def job_quality(spark: SparkSession, dataset: str, report_path: str | None = Non
 
 
 def _inputs(spark: SparkSession, dataset: str, prefer_clean_lookups: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Wide sales, calendar and prices, from the first table of each kind that has rows."""
+    """Wide sales, calendar and prices, from the dataset's first table of each kind that has rows."""
 
     def first(*names: str) -> DataFrame:
-        return tb.first_table(spark, [f"{dataset}.{n}" for n in names] + [n for n in names if n == tb.RAW_SALES_ALIAS])
+        return tb.first_table(spark, [f"{dataset}.{n}" for n in names])
 
     calendars, prices = [tb.CLEAN_CALENDAR, tb.RAW_CALENDAR], [tb.CLEAN_PRICES, tb.RAW_PRICES]
     if not prefer_clean_lookups:
@@ -65,7 +65,7 @@ def job_transform(spark: SparkSession, dataset: str, snapshot_path: str | None =
     fact = joins.build_fact(sales, calendar, prices)
     tb.write_table(fact, f"{dataset}.{tb.FACT_TABLE}", sort_by=["date", "store_id", "item_id"])
     stored = spark.table(f"{dataset}.{tb.FACT_TABLE}")
-    tb.alias_view(spark, tb.FACT_ALIAS, f"{dataset}.{tb.FACT_TABLE}")
+    tb.alias_view(spark, dataset, tb.FACT_ALIAS, tb.FACT_TABLE)
     if snapshot_path:
         write_snapshot(stored, snapshot_path)
     return {"fact": stored, "metrics": quality.validate_transform(stored, sales)}
@@ -98,6 +98,8 @@ def job_etl(spark: SparkSession, sources: dict[str, DataFrame], dataset: str) ->
     """Ingest, audit and clean, transform, validate."""
     started = time.time()
     ingestion = tb.ingest_all(spark, sources, dataset)
+    if failed := [r.table_name for r in ingestion.collect() if not r.success]:  # three rows
+        raise ValueError(f"ingestion failed: {failed}")
     audited = job_quality(spark, dataset)
     transformed = job_transform(spark, dataset)
     validated = job_validate(spark, dataset)
@@ -175,14 +177,60 @@ def job_inventory(spark: SparkSession, dataset: str, **settings) -> DataFrame:
     return spark.table(f"{dataset}.{tb.INVENTORY}")
 
 
+def job_assertions(spark: SparkSession, dataset: str, layers: Layers) -> DataFrame:
+    """Declared column rules and model assertions over the stored models, stored in turn as
+    (model, column_name, rule, violations)."""
+    sales = rollups.stg_sales(spark.table(f"{dataset}.{tb.CLEAN_SALES}"))
+    prices = rollups.stg_sell_prices(spark.table(f"{dataset}.{tb.CLEAN_PRICES}"))
+    daily, weekly, monthly = (spark.table(f"{dataset}.fct_{period}_sales") for period in ("daily", "weekly", "monthly"))
+    mart = spark.table(f"{dataset}.{tb.MART}")
+    # The intermediate models are what the marts store, so the stored copies are checked once.
+    models = {
+        "stg_calendar": layers.stg_calendar,
+        "stg_sales": sales,
+        "stg_sell_prices": prices,
+        tb.MART: mart,
+        "fct_daily_sales": daily,
+        "fct_weekly_sales": weekly,
+        "fct_monthly_sales": monthly,
+    }
+    found = {
+        ("fct_daily_sales", "non_negative"): quality.assert_daily_non_negative(daily),
+        ("fct_daily_sales", "unique_key"): quality.assert_daily_unique(daily),
+        ("fct_weekly_sales", "unique_key"): quality.assert_weekly_unique(weekly),
+        ("fct_monthly_sales", "unique_key"): quality.assert_monthly_unique(monthly),
+        (tb.MART, "unique_key"): quality.assert_mart_unique(mart),
+        (tb.MART, "non_negative"): quality.assert_mart_non_negative(mart),
+        ("fct_weekly_sales", "same_total"): quality.assert_weekly_total(daily, weekly),
+        ("fct_monthly_sales", "same_total"): quality.assert_monthly_total(daily, monthly),
+    }
+    rules = [quality.check_not_null(df, name) for name, df in models.items()]
+    rules += [quality.check_unique(models[name], name) for name in quality.UNIQUE]
+    rules += [quality.check_accepted_values(models[name], name) for name in quality.ACCEPTED]
+    for (model, rule), rows in found.items():
+        counted = rows.agg(F.count(F.lit(1)).alias("violations"))
+        rules.append(counted.select(F.lit(model).alias("model"), F.lit("*").alias("column_name"), F.lit(rule).alias("rule"), "violations"))
+    tb.write_table(quality.union_all(rules), f"{dataset}.model_assertions")
+    return spark.table(f"{dataset}.model_assertions")
+
+
 def job_all(
     spark: SparkSession, sources: dict[str, DataFrame], dataset: str, k: int | None = None, trees: int = boosted.TREES
 ) -> dict:
-    """Everything from the raw inputs to the recommendations."""
+    """Everything from the raw inputs to the recommendations; PASS needs every assertion to hold."""
     etl = job_etl(spark, sources, dataset)
     layers: Layers = materialize_layers(
         spark, spark.table(f"{dataset}.{tb.FACT_TABLE}"), spark.table(f"{dataset}.{tb.CLEAN_CALENDAR}"), dataset
     )
+    assertions = job_assertions(spark, dataset, layers)
+    passed = etl["status"] == "PASS" and assertions.filter("violations > 0").isEmpty()
     forecast = job_forecast(spark, dataset, k, trees=trees)
     recommendations = job_inventory(spark, dataset)
-    return {"etl": etl, "layers": layers, "forecast": forecast, "recommendations": recommendations, "status": etl["status"]}
+    return {
+        "etl": etl,
+        "layers": layers,
+        "assertions": assertions,
+        "forecast": forecast,
+        "recommendations": recommendations,
+        "status": "PASS" if passed else "FAIL",
+    }
