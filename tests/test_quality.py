@@ -144,3 +144,12 @@ def test_exact_median_matches_sorting(spark):
         assert profiles.exact_median(df, "x") == statistics.median(values)
     equal = spark.createDataFrame([(2.0,)] * 9 + [(None,)], "x double")
     assert profiles.exact_median(equal, "x") == 2.0
+
+
+def test_dirty_calendar_text(spark):
+    rows = [("2011-01-29", "2011"), ("12:30", "20xx"), ("2011", None), ("2011-02-30", "1999"), (" 2011-03-01 10:00:00", "2012.0")]
+    raw = spark.createDataFrame(rows, "date string, year string").selectExpr("*", "'Monday' AS weekday", "CAST(NULL AS STRING) AS event_type_1")
+    found = {r.check_name: r.issue_count for r in q.dq_calendar(raw).collect()}
+    assert found["Valid Date Format"] == 3 and found["Valid Year/Week Ranges"] == 2
+    stats = q.column_stats(raw, ["year"]).first()
+    assert (stats.min_value, stats.max_value) == (1999.0, 2012.0)

@@ -5,7 +5,10 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from pyspark.errors import AnalysisException
+
 import frames
+from shelfline.operators import joins
 from shelfline.plans import jobs
 from shelfline.plans.layers import materialize_layers
 from shelfline.session import scratch_path
@@ -40,7 +43,7 @@ def test_csv_round_trip(spark):
     files.export_csv(frames.prices(spark), f"{base}/sell_prices.csv")
     got = files.load_sources(spark, base)
     assert {k: v.count() for k, v in got.items()} == {"calendar": 3, "sales": 2, "prices": 2}
-    assert dict(got["sales"].dtypes)["d_2"] == "int"
+    assert dict(got["sales"].dtypes)["d_2"] == "bigint"
     assert sorted(map(tuple, got["sales"].collect())) == sorted(map(tuple, frames.wide(spark).collect()))
 
 
@@ -52,6 +55,51 @@ def test_bad_cells_are_kept_visible(spark):
     assert rows["i"]._corrupt_record is None
 
 
+def text_file(spark, *lines):
+    path = scratch_path(spark, "text")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_columns_are_found_by_name(spark):
+    prices = files.scan_prices(spark, text_file(spark, "item_id,note,store_id,sell_price,wm_yr_wk", "i,n,s,2.5,7")).first()
+    assert (prices.store_id, prices.item_id, prices.wm_yr_wk, prices.sell_price) == ("s", "i", 7, 2.5) and len(prices) == 4
+    wide = files.scan_sales_wide(spark, text_file(spark, "d_1,d_2,item_id,id,dept_id,cat_id,store_id,state_id,d_3", "3.0,5000000000,i,x,d,c,s,t,bad")).first()
+    assert (wide.item_id, wide.store_id, wide.d_1, wide.d_2, wide.d_3) == ("i", "s", 3, 5_000_000_000, None)
+    with pytest.raises(ValueError):
+        files.scan_prices(spark, text_file(spark, "item_id,wm_yr_wk,sell_price", "i,1,2"))
+
+
+def test_broken_input_is_reported(spark, dataset):
+    sources = small_sources(spark)
+    sources["sales"] = sources["sales"].withColumn("d_1", F.raise_error(F.lit("broken")).cast("int"))
+    del sources["prices"]
+    report = tables.ingest_all(spark, sources, dataset)
+    assert {r.table_name: r.success for r in report.collect()} == {tables.RAW_CALENDAR: True, tables.RAW_SALES: False, tables.RAW_PRICES: False}
+    assert tables.ingest_summary(report).first().overall_status == "FAILURE"
+    with pytest.raises(ValueError):
+        jobs.job_etl(spark, sources, dataset)
+
+
+def test_datasets_stay_apart(spark, dataset):
+    other = f"{dataset}_b"
+    tables.create_dataset(spark, other, scratch_path(spark, other))
+    sources = small_sources(spark)
+    tables.ingest_all(spark, sources, dataset)
+    tables.ingest_all(spark, {**sources, "sales": sources["sales"].limit(0)}, other)
+    assert spark.table(f"{dataset}.{tables.RAW_SALES_ALIAS}").count() == 3
+    with pytest.raises(ValueError):
+        jobs.job_transform(spark, other)
+
+
+def test_only_absence_is_skipped(spark, dataset):
+    tables.write_table(spark.range(3), f"{dataset}.t")
+    with pytest.raises(AnalysisException):
+        tables.first_non_empty([lambda: spark.table(f"{dataset}.t").select("no_such_column"), lambda: spark.range(1)])
+    mart = tables.scan_serving(spark, dataset)[tables.MART]
+    assert len(mart.columns) == 24 and joins.attach_category(spark.createDataFrame([], "item_id string, store_id string"), mart).isEmpty()
+
+
 def test_tables(spark, dataset):
     name = f"{dataset}.t"
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, val string")
@@ -97,6 +145,7 @@ def test_etl(spark, dataset):
 def test_everything(spark, dataset):
     result = jobs.job_all(spark, small_sources(spark), dataset, trees=3)
     assert result["status"] == "PASS"
+    assert result["assertions"].count() > 40 and result["assertions"].filter("violations > 0").isEmpty()
     assert result["forecast"]["forecast"].count() == 90
     assert {r.model for r in result["forecast"]["metrics"].collect()} == {"additive", "boosted"}
     assert result["recommendations"].count() == 3
