@@ -13,8 +13,8 @@ from shelfline.session import scratch_path
 from shelfline.sources import tables
 
 _KEY = ["store_id", "item_id", "date"]
-# The learner's default is 150 trees; the registered queries fit fewer to keep a check run short.
-TREES = 20
+# Fitted once per application and folder.
+_fitted: dict[tuple[str, str], object] = {}
 _STATS = [f"rolling_{kind}_{n}" for n in (7, 28) for kind in ("mean", "std")]
 _STATS_SQL = ", ".join(f"{rnd(c, 4)} AS {c}" for c in _STATS)
 _DATES = ["year", "month", "day", "day_of_week", "week_of_year", "is_weekend"]
@@ -62,7 +62,10 @@ def _failed(spark, d):
 
 def _boosted_model(spark, d):
     train, validation = i.split(spark, d)
-    return boosted.fit_boosted(train, trees=TREES), validation
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _fitted:
+        _fitted[key] = boosted.fit_boosted(train)
+    return _fitted[key], validation
 
 
 def _boosted(spark, d):
@@ -79,7 +82,7 @@ def _forecast_job(spark, d):
     dataset = f"shelf_{scratch_path(spark, 'db').rsplit('-', 1)[1]}"
     tables.create_dataset(spark, dataset, scratch_path(spark, "forecast-job"))
     tables.write_table(i.series_mart(spark, d), f"{dataset}.{tables.MART}")
-    return job_forecast(spark, dataset, trees=TREES)["forecast"]
+    return job_forecast(spark, dataset)["forecast"]
 
 
 ENTRIES = {

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import inputs as i
-from catalog.forecasts import TREES
 from catalog.quality import ENTRIES as QUALITY
 from catalog.sql import query
 from shelfline.operators import quality as q
@@ -60,8 +59,7 @@ def _verify(spark, d):
     name = f"{_dataset(spark)}.{tables.FACT_TABLE}"
     tables.write_table(i.fact(spark, d), name)
     found = tables.verify_table(spark, name)
-    stored = spark.table(name).agg(F.count(F.lit(1)).alias("row_count"))
-    return stored.select(F.lit(found["exists"]).alias("found"), "row_count", F.lit(len(found["columns"])).alias("column_count"))
+    return spark.createDataFrame([(found["exists"], found["row_count"], len(found["columns"]))], "found boolean, row_count bigint, column_count int")
 
 
 def _snapshot(spark, d):
@@ -144,7 +142,7 @@ def _job_etl(spark, d):
 
 
 def _job_all(spark, d):
-    return jobs.job_all(spark, _sources(spark, d), _dataset(spark), trees=TREES)["recommendations"]
+    return jobs.job_all(spark, _sources(spark, d), _dataset(spark))["recommendations"]
 
 
 _BUILT = """SELECT c.date, c.item_id, dept_id, cat_id, c.store_id, state_id, c.sales, p.sell_price FROM cells c LEFT JOIN prices p
