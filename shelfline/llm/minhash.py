@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.components import components
 from shelfline.llm.shingles import shingle_set, similar
-from shelfline.llm.texts import fresh_name, map_texts, table
+from shelfline.llm.texts import fresh_name, map_texts, may_be_among, table
 from shelfline.session import cut_lineage
 
 ROWS = 4  # minima per band
@@ -260,8 +260,12 @@ class _Block:
 
 def one_of_each(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """docs with the smallest document of each component; all columns as they were."""
-    found = near_duplicates(docs, plan or Plan()).where("NOT kept").select(F.col("doc_id").alias(fresh_name(docs, "_dropped")))
-    return docs.join(found, docs["doc_id"].cast("bigint") == found[found.columns[0]], "left_anti")
+    gone, key, flag = (fresh_name(docs, c) for c in ("_dropped", "_key", "_flag"))
+    found = cut_lineage(near_duplicates(docs, plan or Plan()).where("NOT kept").select(F.col("doc_id").alias(gone)))
+    rows = may_be_among(docs.withColumn(key, F.col("doc_id").cast("bigint")), F.col(key), found, flag)
+    # Only texts of documents that may have to go are moved.
+    unsure = rows.where(flag).join(found, F.col(key) == F.col(gone), "left_anti")
+    return rows.where(~F.col(flag)).select(*docs.columns).union(unsure.select(*docs.columns))
 
 
 def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
