@@ -143,10 +143,11 @@ def _likely(pairs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
 
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the nodes that share a bucket: the only texts that are moved."""
-    chosen = nodes.select("node", "text_key").join(wanted, "node")
+    chosen = cut_lineage(nodes.select("node", "text_key").join(wanted, "node"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
-    return cut_lineage(rows.join(chosen, ["node", "text_key"]).select("node", "text").distinct())
+    rows = may_be_among(rows, F.col("node"), chosen.select("node"), "flag").where("flag").drop("flag")
+    return cut_lineage(rows.join(chosen, ["node", "text_key"]).dropDuplicates(["node", "text_key"]).select("node", "text"))
 
 
 def _star_links(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
