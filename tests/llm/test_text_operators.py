@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from shelfline.llm import bpe, fixity, hyper_lang, leaks, minhash, queries, repeats, secrets, site_lines, suffixes, toxicity, weak_rules
+from shelfline.llm import bpe, fixity, hyper_lang, leaks, minhash, queries, repeats, secrets, site_lines, suffixes, texts, toxicity, weak_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, kept int, line string, size int"
@@ -229,3 +229,12 @@ def test_awkward_rows(spark, awkward, empty):
         assert run(empty).count() == 0
     assert minhash.one_of_each(awkward).columns == awkward.columns
     assert minhash.one_of_each(awkward).count() == awkward.count() - 1  # one of the two long copies goes
+
+
+def test_filter_before_joins_loses_no_row(spark):
+    docs = spark.createDataFrame([(i, "a", True) for i in range(2000)] + [(None, "b", None)], "doc_id bigint, _word string, _bits boolean")
+    rows = texts.may_be_among(docs, docs["doc_id"], docs.where("doc_id % 7 = 0").select("doc_id"), "flag")
+    assert rows.columns == [*docs.columns, "flag"] and rows.count() == 2001
+    marked = {r["doc_id"] for r in rows.where("flag").collect()}
+    assert set(range(0, 2000, 7)) <= marked and len(marked) < 400
+    assert texts.may_be_among(docs, docs["doc_id"], docs.limit(0).select("doc_id"), "flag").where("flag").isEmpty()
