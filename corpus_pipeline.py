@@ -23,7 +23,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = site_lines.spread_lines(docs)
+    rows = site_lines.without_boilerplate(docs)
     removed = rows[rows.columns[-1]]  # the operator's count comes last
     kinds = dict(docs.dtypes)
     chars = F.when(removed > 0, F.length("text").cast(kinds["n_chars"])).otherwise(F.col("n_chars")) if "n_chars" in kinds else None

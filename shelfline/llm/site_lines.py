@@ -2,10 +2,12 @@
 aggregation; lines near the threshold get an exact distinct count before anything is removed.
 
 A line is compared without outer white space; blank lines never count. Its sites are the different
-values of `source` (null is a site of its own). A line of at least `min_sites` sites is boilerplate
-and is removed, except from documents with more boilerplate than other words: such a document is a
-copy of others rather than a page with boilerplate on it, and stays whole for the near-duplicate
-stage.
+values of `source` (null is a site of its own). A line of at least `min_sites` sites is boilerplate.
+
+`without_boilerplate`, the pipeline's stage, removes it from every document that also holds a line of
+its own; a document of nothing but boilerplate is a true copy and stays whole for the near-duplicate
+stage. `spread_lines`, the registered query, follows its SQL counterpart, which leaves documents with
+more boilerplate than other words whole.
 
 Cases: null text stays null with no lines; an empty table gives an empty result; rows with the same
 doc_id and text are treated alike.
@@ -13,6 +15,8 @@ doc_id and text are treated alike.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,25 +56,37 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """docs with n_lines, n_removed and text without boilerplate; all other columns as they were.
+    """docs with n_lines, n_removed and text without boilerplate, as OP3_SQL has it: documents with more
+    boilerplate than other words stay whole."""
+    lines = lines_of(docs)
+    all_words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
+    hit_words = lambda hits: F.aggregate(hits, F.lit(0), lambda a, h: a + h["words"])
+    return _without(docs, lines, boilerplate(lines, min_sites), lambda hits, n_lines: 2 * hit_words(hits) <= all_words)
+
+
+def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """The same columns; only documents without any line of their own stay whole."""
+    lines = lines_of(docs)
+    return _without(docs, lines, boilerplate(lines, min_sites), lambda hits, n_lines: F.size(hits) < n_lines)
+
+
+def _without(docs: DataFrame, lines: DataFrame, wide: DataFrame, takes: Callable[[Column, Column], Column]) -> DataFrame:
+    """docs with n_lines, n_removed and text without the lines in wide, where `takes` holds of a document's
+    hits and number of lines; all other columns as they were.
 
     Only keys and places of lines are shuffled before the one join that brings the places to remove
     back to their documents."""
-    names = {n: fresh_name(docs, f"_{n}") for n in ("text_key", "places", "words", "lines", "all_words")}
-    lines = lines_of(docs)
-    hits = lines.join(boilerplate(lines, min_sites), "key", "left_semi")
+    names = {n: fresh_name(docs, f"_{n}") for n in ("text_key", "places")}
+    hits = lines.join(wide, "key", "left_semi")
     removed = hits.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set(F.struct("place", "words")).alias("_hits"))
     rows = docs.withColumn(names["text_key"], F.xxhash64("text"))
     joined = rows.join(removed, rows["doc_id"].eqNullSafe(removed["_id"]) & (rows[names["text_key"]] == removed["_key"]), "left")
     text_lines = F.split("text", "\n", -1)
-    all_words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
-    hit_words = F.aggregate("_hits", F.lit(0), lambda a, h: a + h["words"])
-    takes = F.col("_hits").isNotNull() & (2 * hit_words <= all_words)
+    n_lines = F.size(F.filter(text_lines, lambda line: F.btrim(line, F.lit(BLANK)) != ""))
     places = F.transform("_hits", lambda h: h["place"])
     kept = F.array_join(F.filter(text_lines, lambda line, i: ~F.array_contains(F.col(names["places"]), i)), "\n")
-    joined = joined.withColumn(names["places"], F.when(takes, places))
+    joined = joined.withColumn(names["places"], F.when(F.col("_hits").isNotNull() & takes(F.col("_hits"), n_lines), places))
     text = F.when(F.col(names["places"]).isNotNull(), kept).otherwise(F.col("text"))
-    n_lines = F.size(F.filter(text_lines, lambda line: F.btrim(line, F.lit(BLANK)) != ""))
     others = [c for c in docs.columns if c != "text"]
     out = joined.select(*others, text.alias("text"), F.coalesce(F.when(F.col("text").isNotNull(), n_lines), F.lit(0)).alias(fresh_name(docs, "n_lines")), F.coalesce(F.size(names["places"]), F.lit(0)).alias(fresh_name(docs, "n_removed")))
     return out

@@ -238,3 +238,16 @@ def test_filter_before_joins_loses_no_row(spark):
     marked = {r["doc_id"] for r in rows.where("flag").collect()}
     assert set(range(0, 2000, 7)) <= marked and len(marked) < 400
     assert texts.may_be_among(docs, docs["doc_id"], docs.limit(0).select("doc_id"), "flag").where("flag").isEmpty()
+
+
+def test_pages_of_mostly_boilerplate_are_cleaned(spark):
+    """Pipeline rule: only a document without any line of its own stays whole. The pages are two thirds
+    shared, too much for the half rule and too little for near copies."""
+    import corpus_pipeline
+
+    shared = " ".join(f"shared{i}" for i in range(60))
+    own = [" ".join(f"own{i}x{j}" for j in range(30)) for i in range(12)]
+    rows = [(i, f"{shared}\n{own[i]}\n", f"s{i}") for i in range(12)]
+    rows += [(50, f"{shared}\n\n", "s0"), (51, "nothing shared", "s1")]
+    out = found(corpus_pipeline.remove_boilerplate(spark, spark.createDataFrame(rows, "doc_id bigint, text string, source string"), ""))
+    assert {i: r["text"] for i, r in out.items()} == {i: f"{own[i]}\n" if i < 12 else t for i, t, _ in rows}
