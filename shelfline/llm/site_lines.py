@@ -6,8 +6,12 @@ values of `source` (null is a site of its own). A line of at least `min_sites` s
 
 `without_boilerplate`, the pipeline's stage, removes it from every document that also holds a line of
 its own; a document of nothing but boilerplate is a true copy and stays whole for the near-duplicate
-stage. `spread_lines`, the registered query, follows its SQL counterpart, which leaves documents with
-more boilerplate than other words whole.
+stage. Lines of a few words recur by chance and need MIN_SITES sites; a line of LONG_WORDS words or
+more needs LONG_SITES sites, in at least as many documents that are not near copies of each other.
+Else every copy of a page would lose its text here, before the near-duplicate stage keeps one of them.
+
+`spread_lines`, the registered query, follows its SQL counterpart: MIN_SITES sites for every line, and
+documents with more boilerplate than other words stay whole.
 
 Cases: null text stays null with no lines; an empty table gives an empty result; rows with the same
 doc_id and text are treated alike.
@@ -20,10 +24,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.llm.minhash import Plan, near_duplicates
 from shelfline.llm.texts import fresh_name, table
 from shelfline.session import cut_lineage
 
 MIN_SITES = 10
+LONG_WORDS = 8
+LONG_SITES = 3
 SKETCH_BITS = 10  # 1,024 registers: relative error 1.04 / sqrt(1024), about 3.3 %
 MARGIN = 4 * 1.04 / 2 ** (SKETCH_BITS / 2)  # four standard errors
 BLANK = " \t\n\x0b\f\r"
@@ -43,16 +50,31 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return parts.select("doc_id", "text_key", "site", "place", keys(F.col("line")).alias("key"), words.alias("words"))
 
 
-def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """Keys of lines on at least min_sites sites. The sketch of a line has a bounded size, so a line
-    that is everywhere costs no more than any other, and partial sketches merge before the shuffle."""
-    spread = lines.groupBy("key").agg(F.hll_sketch_agg("site", F.lit(SKETCH_BITS)).alias("sketch"))
-    spread = spread.select("key", F.hll_sketch_estimate("sketch").alias("sites"))
-    low, high = min_sites * (1 - MARGIN) - 1, min_sites * (1 + MARGIN) + 1
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, long_sites: int | None = None) -> DataFrame:
+    """Keys and words of lines on at least min_sites sites, or long_sites for long lines. The sketch of a
+    line has a bounded size, so a line that is everywhere costs no more than any other, and partial
+    sketches merge before the shuffle."""
+    spread = lines.groupBy("key").agg(F.hll_sketch_agg("site", F.lit(SKETCH_BITS)).alias("sketch"), F.first("words").alias("words"))
+    least = F.when(F.col("words") >= LONG_WORDS, min_sites if long_sites is None else long_sites).otherwise(min_sites)
+    spread = spread.select("key", "words", F.hll_sketch_estimate("sketch").alias("sites"), least.alias("least"))
+    low, high = F.col("least") * (1 - MARGIN) - 1, F.col("least") * (1 + MARGIN) + 1
     seen = cut_lineage(spread.where(F.col("sites") >= low))
     near = seen.where(F.col("sites") <= high).select("key")
     exact = lines.join(near, "key", "left_semi").select("key", "site").distinct().groupBy("key").count()
-    return seen.where(F.col("sites") > high).select("key").unionByName(exact.where(F.col("count") >= min_sites).select("key"))
+    exact = seen.join(exact, "key").where(F.col("count") >= F.col("least"))
+    return seen.where(F.col("sites") > high).select("key", "words").unionByName(exact.select("key", "words"))
+
+
+def in_different_documents(lines: DataFrame, found: DataFrame, docs: DataFrame, least: int) -> DataFrame:
+    """Those keys of found whose lines lie in at least `least` groups of near copies, a document without
+    copies being a group of its own."""
+    groups = near_duplicates(docs, Plan()).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "component_id").distinct()
+    hits = lines.join(found, "key", "left_semi").select("key", "doc_id", "text_key").distinct()
+    placed = hits.join(groups, hits["doc_id"].eqNullSafe(groups["_id"]) & (hits["text_key"] == groups["_key"]))
+    # A document without an id is in no group; its text stands for it.
+    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("text_key")))
+    different = placed.select("key", group.alias("group")).distinct().groupBy("key").count().where(F.col("count") >= least)
+    return found.join(different, "key", "left_semi")
 
 
 def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -64,10 +86,14 @@ def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return _without(docs, lines, boilerplate(lines, min_sites), lambda hits, n_lines: 2 * hit_words(hits) <= all_words)
 
 
-def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """The same columns; only documents without any line of their own stay whole."""
+def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, long_sites: int = LONG_SITES) -> DataFrame:
+    """The same columns, by the pipeline's rule: long lines of a few sites go too, and only documents
+    without any line of their own stay whole."""
     lines = lines_of(docs)
-    return _without(docs, lines, boilerplate(lines, min_sites), lambda hits, n_lines: F.size(hits) < n_lines)
+    wide = cut_lineage(boilerplate(lines, min_sites, long_sites))
+    long = in_different_documents(lines, wide.where(F.col("words") >= LONG_WORDS), docs, long_sites)
+    wide = wide.where(F.col("words") < LONG_WORDS).unionByName(long)
+    return _without(docs, lines, wide, lambda hits, n_lines: F.size(hits) < n_lines)
 
 
 def _without(docs: DataFrame, lines: DataFrame, wide: DataFrame, takes: Callable[[Column, Column], Column]) -> DataFrame:

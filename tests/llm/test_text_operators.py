@@ -251,3 +251,31 @@ def test_pages_of_mostly_boilerplate_are_cleaned(spark):
     rows += [(50, f"{shared}\n\n", "s0"), (51, "nothing shared", "s1")]
     out = found(corpus_pipeline.remove_boilerplate(spark, spark.createDataFrame(rows, "doc_id bigint, text string, source string"), ""))
     assert {i: r["text"] for i, r in out.items()} == {i: f"{own[i]}\n" if i < 12 else t for i, t, _ in rows}
+
+
+def test_long_passages_of_a_few_different_pages(spark):
+    """Long lines go from three sites on, short ones from ten, and pages copied to several sites keep theirs."""
+    import corpus_pipeline
+
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    rows, want = [], {}
+
+    def page(site, text, left):
+        rows.append((len(rows), text, site))
+        want[len(rows) - 1] = left
+
+    for n in (3, 5, 9, 12):  # a passage in n different pages
+        for i in range(n):
+            own = words(f"own{n}x{i}x", 30)
+            page(f"s{i}", f"{own}\n{words(f'passage{n}x', 60)}", own)
+    for i in range(4):  # one hot site and two others
+        own = words(f"hot{i}x", 30)
+        page("s0" if i < 2 else f"s{i}", f"{own}\n{words('common', 60)}", own)
+    for i in range(5):  # few words, or two sites only
+        for text in (f"{words(f'few{i}x', 30)}\nread more here", f"{words(f'pair{i}x', 30)}\n{words('two', 60)}"):
+            page(f"s{i}" if "read" in text else f"s{i % 2}", text, text)
+    for i in range(12):  # near copies of one page
+        text = f"{words('copied', 60)}\n{words('again', 60)}\nnumber {i}"
+        page(f"s{i}", text, text)
+    out = found(corpus_pipeline.remove_boilerplate(spark, spark.createDataFrame(rows, "doc_id bigint, text string, source string"), ""))
+    assert {i: r["text"] for i, r in out.items()} == want
