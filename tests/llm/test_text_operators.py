@@ -279,3 +279,71 @@ def test_long_passages_of_a_few_different_pages(spark):
         page(f"s{i}", text, text)
     out = found(corpus_pipeline.remove_boilerplate(spark, spark.createDataFrame(rows, "doc_id bigint, text string, source string"), ""))
     assert {i: r["text"] for i, r in out.items()} == want
+
+
+def without_lines(rows):
+    """The pipeline's line rule, plainly: rows are (doc_id, text, source)."""
+    groups = {d: c for d, (_, c) in components({d: t for d, t, _ in rows}, 5, 80).items()}
+    sites, held = collections.defaultdict(set), collections.defaultdict(set)
+    for d, text, source in rows:
+        for line in filter(None, map(str.strip, text.split("\n"))):
+            sites[line].add(source)
+            held[line].add(groups[d])
+    wide = {x for x in sites if (len(sites[x]) >= 3 and len(held[x]) >= 3 if len(x.split()) >= 8 else len(sites[x]) >= 10)}
+    out = {}
+    for d, text, _ in rows:
+        lines = text.split("\n")
+        whole = all(x.strip() in wide for x in lines if x.strip())
+        out[d] = text if whole else "\n".join(x for x in lines if x.strip() not in wide)
+    return out
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Columns, ids and texts after each of the five stages, and the tokens of what is left."""
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    dice = random.Random(11)
+    letters = lambda n: ["".join(dice.choices("abcdefghij", k=6)) for _ in range(n)]
+    item = " ".join(letters(30))
+    rows, toxic = [], set()
+    for i in range(200):
+        text = " ".join(letters(40))
+        if i % 3 == 0:
+            words = letters(40)
+            for _ in range(12):
+                words.insert(dice.randrange(len(words)), dice.choice(["zorgon", "blatter", "grunkle"]))
+            text, toxic = " ".join(words), toxic | {i}
+        elif i % 10 == 1:
+            text += "\nread more here"
+        elif i % 40 == 2:
+            text += "\n" + " ".join(["passage", *map("{}th".format, range(30))])
+        elif i % 50 == 5:
+            text += f" {item} " + " ".join(letters(5))
+        rows.append((i, text, f"s{i // 10}"))
+    plain = [r for r in rows if r[0] not in toxic]
+    rows += [(300 + i, plain[i][1], "s1") for i in range(3)]  # copies, and copies with one more word
+    rows += [(310 + i, plain[10 + i][1] + " end", "s2") for i in range(3)]
+    spark.createDataFrame([(d, t, s, len(t)) for d, t, s in rows], "doc_id bigint, text string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i in toxic)) for i in range(200)], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    steps = [{d: t for d, t, _ in rows if d not in toxic}]
+    steps.append(without_lines([r for r in rows if r[0] in steps[0]]))
+    steps.append({d: steps[1][d] for d, (_, c) in components(steps[1], 5, 80).items() if c == d})
+    steps.append({d: t for d, t in steps[2].items() if item not in t})
+    assert steps[1] != steps[0] and len({len(s) for s in steps} | {len(rows)}) == 4
+
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    columns = docs.columns
+    for (name, stage), want in zip(corpus_pipeline.STAGES, [*steps, None]):
+        docs = stage(spark, docs, str(tmp_path)).localCheckpoint()
+        got = found(docs)
+        assert docs.count() == len(got)
+        if want is not None:
+            assert docs.columns == columns, name
+            assert {d: (r["text"], r["n_chars"]) for d, r in got.items()} == {d: (t, len(t)) for d, t in want.items()}, name
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {d: library.encode(t, add_special_tokens=False).ids for d, t in steps[3].items()}
+    assert {d: (r["n_tokens"], r["ids_sha256"]) for d, r in got.items()} == {d: (len(x), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest()) for d, x in ids.items()}
