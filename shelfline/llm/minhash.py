@@ -260,12 +260,15 @@ class _Block:
 
 
 def one_of_each(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
-    """docs with the smallest document of each component; all columns as they were."""
-    gone, key, flag = (fresh_name(docs, c) for c in ("_dropped", "_key", "_flag"))
-    found = cut_lineage(near_duplicates(docs, plan or Plan()).where("NOT kept").select(F.col("doc_id").alias(gone)))
-    rows = may_be_among(docs.withColumn(key, F.col("doc_id").cast("bigint")), F.col(key), found, flag)
+    """docs with the smallest document of each component; all columns as they were. A row goes by doc_id
+    and text, so another text under the same doc_id stays; repeated rows that are kept all stay."""
+    gone, gone_text, key, flag = (fresh_name(docs, c) for c in ("_dropped", "_dropped_text", "_key", "_flag"))
+    found = near_duplicates(docs, plan or Plan()).where("NOT kept")
+    found = cut_lineage(found.select(F.col("doc_id").alias(gone), F.col("text_key").alias(gone_text)))
+    rows = may_be_among(docs.withColumn(key, F.col("doc_id").cast("bigint")), F.col(key), found.select(gone), flag)
     # Only texts of documents that may have to go are moved.
-    unsure = rows.where(flag).join(found, F.col(key) == F.col(gone), "left_anti")
+    same = (F.col(key) == F.col(gone)) & (F.xxhash64(F.col("text").cast("string")) == F.col(gone_text))
+    unsure = rows.where(flag).join(found, same, "left_anti")
     return rows.where(~F.col(flag)).select(*docs.columns).union(unsure.select(*docs.columns))
 
 

@@ -347,3 +347,9 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ids = {d: library.encode(t, add_special_tokens=False).ids for d, t in steps[3].items()}
     assert {d: (r["n_tokens"], r["ids_sha256"]) for d, r in got.items()} == {d: (len(x), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest()) for d, x in ids.items()}
+
+
+def test_other_text_of_a_dropped_doc_id_stays(spark):
+    copied, other = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    docs = spark.createDataFrame([(1, copied), (5, copied), (5, other)], "doc_id bigint, text string")
+    assert sorted(map(tuple, minhash.one_of_each(docs).collect())) == [(1, copied), (5, other)]
