@@ -43,7 +43,7 @@ def found(df):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_same_rows_as_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     df = queries.QUERIES[name](spark, sf_dir)
     names = sorted(df.columns)
