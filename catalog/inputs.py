@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from shelfline.functions import round_half_up
-from shelfline.operators import features, forecasting, reshape, rollups
+from shelfline.operators import features, forecasting, joins, reshape, rollups
 from shelfline.schemas import ID_COLUMNS, day_columns
 from shelfline.session import scratch_path
 from shelfline.sources import supplied
@@ -108,6 +108,15 @@ def faulty_fact(spark, d):
     )
 
 
+def built(spark, d):
+    """The fact as a run stores it: built from the wide table, calendar and prices."""
+    return stored(spark, d, "built", lambda: joins.build_fact(wide(spark, d), calendar(spark, d), prices(spark, d)))
+
+
+def stored_faulty_fact(spark, d):
+    return stored(spark, d, "faulty-fact", lambda: faulty_fact(spark, d))
+
+
 def raw_calendar(spark, d):
     """Calendar as text with bad cells; days of the 20th occur twice."""
     dom = F.dayofmonth("date")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from catalog import inputs as i
 from catalog.sql import query, rnd
-from shelfline.operators import joins, quality as q, rollups
+from shelfline.operators import quality as q, rollups
 from shelfline.schemas import FACT_KEY
 
 
@@ -94,8 +94,63 @@ _PRICED = """SELECT c.date, c.item_id, dept_id, cat_id, c.store_id, state_id, c.
     ON c.store_id = p.store_id AND c.item_id = p.item_id AND c.wm_yr_wk = p.wm_yr_wk"""
 
 
-def _built(spark, d):
-    return joins.build_fact(i.wide(spark, d), i.calendar(spark, d), i.prices(spark, d))
+_SECTIONS = ", ".join(f"'{section}'" for section in q.SECTIONS)
+
+
+def _line(section: str, place: str, name: str, value: str, source: str = "", key: str = "NULL", status: str = "NULL", mean: str = "NULL", low: str = "NULL", high: str = "NULL") -> str:
+    return f"""SELECT '{section}' AS section, CAST({place} AS INTEGER) AS place, {name} AS name, CAST({key} AS VARCHAR) AS key, CAST({status} AS VARCHAR) AS status,
+        CAST({value} AS BIGINT) AS value, CAST({mean} AS DOUBLE) AS mean, CAST({low} AS DOUBLE) AS low, CAST({high} AS DOUBLE) AS high {source}"""
+
+
+def _report_sql(wide: str) -> str:
+    """The report over a fact named t, one SELECT per line or list."""
+    fail = lambda test, word="FAIL": f"CASE WHEN {test} THEN 'PASS' ELSE '{word}' END"
+    one, mean = "FROM t", rnd("CAST(sum(sales) AS DOUBLE) / count(sales)", 4)
+    price = f"(CAST(sum(CAST(sell_price AS DECIMAL(18,6))) AS DOUBLE) / count(sell_price))"
+    counts = {
+        "negative_sales_count": _where("sales < 0"),
+        "missing_dates": _where("date IS NULL"),
+        "duplicate_combinations": _DUP_FACT,
+        "invalid_prices": _where("sell_price <= 0"),
+    }
+    no_price = _where("sell_price IS NULL")
+    lines = [
+        _line("size", "0", "'row_count'", "count(*)", one, status=fail("count(*) > 0")),
+        _line("size", "1", "'date_range'", "date_diff('day', min(date), max(date))", one, "CAST(min(date) AS VARCHAR) || ' to ' || CAST(max(date) AS VARCHAR)", fail("min(date) IS NOT NULL")),
+    ]
+    for place, (name, column) in enumerate((("items", "item_id"), ("stores", "store_id"), ("departments", "dept_id"), ("categories", "cat_id"), ("states", "state_id")), 2):
+        lines.append(_line("size", str(place), f"'unique_{name}'", f"count(DISTINCT {column})", one))
+    raw = f"(SELECT sum(sales) FROM {wide})"
+    lines.append(_line("integrity", "0", "'raw_sales_match'", raw, one, status=fail(f"sum(sales) = {raw}", "WARNING")))
+    for place, name in enumerate(("negative_sales_count", "missing_dates", None, "duplicate_combinations", "invalid_prices"), 1):
+        if name is None:
+            lines.append(_line("integrity", str(place), "'missing_prices'", no_price, one, status=fail(f"{no_price} = 0", "WARNING"), mean=rnd(f"100e0 * CAST({no_price} AS DOUBLE) / count(*)", 2)))
+        else:
+            lines.append(_line("integrity", str(place), f"'{name}'", counts[name], one, status=fail(f"{counts[name]} = 0")))
+    broken = {}
+    for place, (child, parent) in enumerate(q.HIERARCHY_RULES):
+        bad = f"(SELECT {child} AS c FROM t WHERE {child} IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {parent}) > 1)"
+        broken[place] = f"(SELECT count(*) FROM {bad})"
+        shown = f"(SELECT string_agg(c, ', ' ORDER BY c) FROM (SELECT c FROM {bad} ORDER BY c LIMIT 5))"
+        lines.append(_line("hierarchy", str(place), f"'{child}->{parent}'", broken[place], key=shown, status=fail(f"{broken[place]} = 0")))
+    all_broken = " + ".join(broken.values())
+    lines.append(_line("hierarchy", str(len(broken)), "'overall_hierarchy'", all_broken, status=fail(f"{all_broken} = 0")))
+    lines.append(_line("sales", "0", "'total_sales'", "sum(sales)", one))
+    lines.append(_line("sales", "1", "'daily_sales'", "count(sales)", one, mean=mean, low="min(sales)", high="max(sales)"))
+    for place, (level, column) in enumerate((("store", "store_id"), ("category", "cat_id"), ("department", "dept_id")), 2):
+        lines.append(_line("sales", str(place), f"'sales_by_{level}'", "sum(sales)", f"FROM t WHERE {column} IS NOT NULL GROUP BY {column}", column, mean=mean))
+    best = "(SELECT item_id FROM t WHERE item_id IS NOT NULL GROUP BY 1 ORDER BY sum(sales) DESC NULLS LAST, item_id LIMIT 3)"
+    lines.append(_line("sales", "5", "'top_items'", "sum(sales)", f"FROM t WHERE item_id IN {best} GROUP BY item_id", "item_id", mean=mean))
+    lines.append(_line("calendar", "isodow(date) - 1", "'sales_by_weekday'", "sum(sales)", "FROM t WHERE date IS NOT NULL GROUP BY isodow(date), dayname(date)", "dayname(date)", mean=mean))
+    weekend = "isodow(date) >= 6"
+    lines.append(_line("calendar", "7", "'weekend_contrast'", "sum(sales)", f"FROM t WHERE date IS NOT NULL GROUP BY {weekend}", f"CASE WHEN {weekend} THEN 'Weekend (Sat-Sun)' ELSE 'Weekday (Mon-Fri)' END", mean=mean))
+    lines.append(_line("prices", "0", "'sell_price'", "count(sell_price)", one, mean=rnd(price, 2), low=rnd("min(sell_price)", 2), high=rnd("max(sell_price)", 2)))
+    lines.append(_line("prices", "1", "'median_price'", "count(sell_price)", one, mean=rnd("median(sell_price)", 2)))
+    lines.append(_line("prices", "2", "'price_by_category'", "count(sell_price)", "FROM t WHERE cat_id IS NOT NULL GROUP BY cat_id", "cat_id", mean=rnd(price, 4), low="min(sell_price)", high="max(sell_price)"))
+    tests = ["count(*) = 0", "min(date) IS NULL", *[f"{c} > 0" for c in counts.values()], f"({all_broken}) > 0"]
+    failed = " + ".join(f"CAST({test} AS INTEGER)" for test in tests)
+    lines.append(_line("overall", "0", "'overall_status'", failed, one, status=fail(f"{failed} = 0")))
+    return " UNION ALL ".join(lines)
 
 
 def _models(spark, d):
@@ -190,7 +245,7 @@ ENTRIES = {
     ),
     "validate_fact": (lambda s, d: q.validate_fact(i.faulty_fact(s, d)), query(_VALID)),
     "validate_transform": (
-        lambda s, d: q.validate_transform(_built(s, d), i.wide(s, d)),
+        lambda s, d: q.validate_transform(i.built(s, d), i.wide(s, d)),
         query(
             f"""SELECT count(*) AS row_count, min(date) AS min_date, max(date) AS max_date, count(DISTINCT item_id) AS unique_items,
             count(DISTINCT store_id) AS unique_stores, count(DISTINCT dept_id) AS unique_depts, count(DISTINCT cat_id) AS unique_cats,
@@ -211,22 +266,22 @@ ENTRIES = {
             t=_RULES,
         ),
     ),
-    "validation_report": (
-        lambda s, d: q.validation_report(_built(s, d), i.wide(s, d)),
+    "validation_report": (lambda s, d: q.validation_report(i.built(s, d), i.wide(s, d)), query(_report_sql("cells"), t=_PRICED)),
+    "validation_report_faulty": (
+        # A fact with negative units and prices, lost dates and prices, repeated keys, and other items than the wide table.
+        lambda s, d: q.validation_report(i.stored_faulty_fact(s, d), i.wide(s, d)),
+        query(_report_sql("cells"), t="SELECT * FROM faulty_fact"),
+    ),
+    "render_report": (
+        lambda s, d: q.render_report(q.validation_report(i.stored_faulty_fact(s, d), i.wide(s, d))),
         query(
-            f"""SELECT * FROM lines UNION ALL SELECT 'overall', 'overall_status',
-            CASE WHEN {_where("status = 'FAIL'")} = 0 THEN 'PASS' ELSE 'FAIL' END, {_where("status = 'FAIL'")} FROM lines""",
-            t=_PRICED,
-            rules=_RULES.replace("FROM fact", "FROM t"),
-            lines=f"""SELECT 'integrity' AS section, 'row_count' AS name, 'PASS' AS status, count(*) AS value FROM t
-            UNION ALL SELECT 'integrity', 'date_range', 'PASS', date_diff('day', min(date), max(date)) FROM t
-            UNION ALL SELECT 'integrity', 'negative_sales_count', CASE WHEN {_where('sales < 0')} = 0 THEN 'PASS' ELSE 'FAIL' END, {_where('sales < 0')} FROM t
-            UNION ALL SELECT 'integrity', 'missing_dates', CASE WHEN {_where('date IS NULL')} = 0 THEN 'PASS' ELSE 'FAIL' END, {_where('date IS NULL')} FROM t
-            UNION ALL SELECT 'integrity', 'missing_prices', CASE WHEN {_where('sell_price IS NULL')} = 0 THEN 'PASS' ELSE 'WARNING' END, {_where('sell_price IS NULL')} FROM t
-            UNION ALL SELECT 'integrity', 'duplicate_combinations', CASE WHEN {_DUP_FACT} = 0 THEN 'PASS' ELSE 'FAIL' END, {_DUP_FACT} FROM t
-            UNION ALL SELECT 'integrity', 'invalid_prices', CASE WHEN {_where('sell_price <= 0')} = 0 THEN 'PASS' ELSE 'FAIL' END, {_where('sell_price <= 0')} FROM t
-            UNION ALL SELECT 'totals', 'raw_sales_match', 'PASS', CAST(sum(sales) AS BIGINT) FROM cells
-            UNION ALL SELECT 'hierarchy', rule, CASE WHEN {_where('parents > 1')} = 0 THEN 'PASS' ELSE 'FAIL' END, {_where('parents > 1')} FROM rules GROUP BY rule""",
+            f"""SELECT row_number() OVER (ORDER BY section_no, place, value DESC NULLS LAST, key NULLS FIRST, line) - 1 AS line_no, line FROM (
+            SELECT section_no, place, value, key, '  ' || rpad(concat_ws(' ', name, key), 48, ' ') || ' ' || concat_ws(', ',
+                format('{{:,}}', value), 'mean ' || printf('%.2f', mean), 'from ' || printf('%.2f', low) || ' to ' || printf('%.2f', high), '[' || status || ']') AS line
+            FROM (SELECT *, list_position([{_SECTIONS}], section) AS section_no FROM r)
+            UNION ALL SELECT DISTINCT list_position([{_SECTIONS}], section), -1, NULL, NULL, list_position([{_SECTIONS}], section) || '. ' || upper(section) FROM r)""",
+            t="SELECT * FROM faulty_fact",
+            r=_report_sql("cells"),
         ),
     ),
     "check_not_null": (_not_null, query(_NOT_NULL)),

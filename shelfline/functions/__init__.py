@@ -53,15 +53,42 @@ def round_half_up(c, digits: int) -> Column:
     return F.when(F.abs(x) * scale >= F.lit(2.0**53), x.cast("double")).otherwise(rounded)  # NaN counts as largest
 
 
+# Ends of the ranges that exact_sum adds as short decimals, as long ones, and as doubles.
+SHORT_DECIMAL, LONG_DECIMAL = {6: 1e12, 10: 1e16}, {6: 1e31, 10: 1e27}
+
+
+def exact_parts(c, digits: int = 6) -> dict[str, Column]:
+    """Aggregates whose sums over groups `total_of` turns into an exact sum of doubles.
+
+    Decimals with `digits` decimals make the sum independent of row order. Numbers too large for the
+    short decimal go to a long one; what no decimal holds, and NaN or an infinity, is added as a
+    double, where lost digits no longer matter."""
+    x = as_column(c).cast("double")
+    short, long = F.lit(SHORT_DECIMAL[digits]), F.lit(LONG_DECIMAL[digits])
+    return {
+        "short": F.sum(F.when(F.abs(x) < short, x).try_cast(f"decimal({18 if digits == 6 else 26},{digits})")),
+        "long": F.sum(F.when((F.abs(x) >= short) & (F.abs(x) < long), x).try_cast(f"decimal(38,{digits})")),
+        "rest": F.sum(F.when(F.abs(x) >= long, x)),  # NaN counts as largest
+    }
+
+
+def total_of(short: Column, long: Column, rest: Column) -> Column:
+    return sum((F.coalesce(part.cast("double"), F.lit(0.0)) for part in (long, rest)), F.coalesce(short.cast("double"), F.lit(0.0)))
+
+
+def exact_sum(c, digits: int = 6) -> Column:
+    """Sum of doubles that does not depend on row order; null without values."""
+    return F.when(F.count(as_column(c)) > 0, total_of(**exact_parts(c, digits)))
+
+
 def money_avg(c) -> Column:
     """Average with an exact decimal sum, so the result does not depend on row order."""
-    c = as_column(c)
-    return F.try_divide(F.sum(c.cast("decimal(18,6)")).cast("double"), F.count(c).cast("double"))
+    return F.try_divide(exact_sum(c), F.count(as_column(c)).cast("double"))
 
 
 def stable_sum(c) -> Column:
     """Sum of doubles that does not depend on row order, so a retried task cannot change it."""
-    return F.sum(as_column(c).cast("decimal(26,10)")).cast("double")
+    return exact_sum(c, 10)
 
 
 def stable_avg(c) -> Column:

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from math import isfinite
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions import is_weekend, money_avg, monday_zero, percent, round_half_up
+from shelfline.functions import is_weekend, money_avg, monday_zero, percent, round_half_up, to_number
+from shelfline.operators import ranks
 from shelfline.operators.keep import top_rows
 
 # Labels of the two parts of the week.
 WEEKEND_LABEL = "Weekend (Sat-Sun)"
 WEEKDAY_LABEL = "Weekday (Mon-Fri)"
 
-MEDIAN_BINS = 1024
-
 
 def _sales_by(df: DataFrame, key: str, mean_name: str = "avg_daily_sales") -> DataFrame:
     return df.groupBy(key).agg(
@@ -106,56 +103,19 @@ def weekend_vs_weekday(df: DataFrame) -> DataFrame:
 
 
 def exact_median(df: DataFrame, column: str) -> float | None:
-    """Median of a numeric column without gathering its values anywhere.
-
-    Equal values are counted first. The count table is then narrowed, bin by bin, to the bin that
-    holds the middle rank, until few enough values are left to read. Each pass returns at most
-    MEDIAN_BINS rows. A median() call would keep every distinct value in one task.
-    """
-    value, n = F.col("v"), F.col("n")
-    counts = (
-        df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    ).persist()
-    extent = [F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(F.lit(1)).alias("k"), F.sum(n).alias("rows")]
-    try:
-        seen = counts.agg(*extent).first()
-        total = seen.rows
-        if not total:
-            return None
-        rank, before, part = (total + 1) // 2, 0, counts
-        while seen.k > MEDIAN_BINS:
-            width = (seen.hi - seen.lo) / MEDIAN_BINS
-            if not isfinite(width):
-                raise ValueError("median of infinite values")
-            number = F.least(F.floor((value - F.lit(seen.lo)) / F.lit(width)), F.lit(MEDIAN_BINS - 1))
-            binned = part.withColumn("bin", number)
-            for seen in binned.groupBy("bin").agg(*extent).orderBy("bin").collect():
-                if before + seen.rows >= rank:
-                    break
-                before += seen.rows
-            part = binned.filter(F.col("bin") == seen.bin).select("v", "n")
-        for row in part.orderBy("v").collect():
-            before += row.n
-            if before >= rank:
-                break
-        if total % 2 or before > rank:
-            return row.v
-        following = counts.filter(value > F.lit(row.v)).agg(F.min(value).alias("v")).first()
-        return (row.v + following.v) / 2
-    finally:
-        counts.unpersist()
+    """Median of a numeric column; nulls and NaN are left out."""
+    return ranks.median(df, F.col(column)).first().value
 
 
 def price_stats(df: DataFrame) -> DataFrame:
-    """One row of price statistics; an all-null price gives nulls and 100 % missing."""
-    median = exact_median(df, "sell_price")
-    price = F.col("sell_price")
+    """One row of price statistics; NaN counts as missing, and no price at all gives nulls and 100 % missing."""
+    price = to_number("sell_price")
     missing = F.count_if(price.isNull())
     return df.agg(
         round_half_up(money_avg(price), 2).alias("avg_price"),
         round_half_up(F.min(price), 2).alias("min_price"),
         round_half_up(F.max(price), 2).alias("max_price"),
-        round_half_up(F.lit(median).cast("double"), 2).alias("median_price"),
+        round_half_up(ranks.median(df, price).scalar(), 2).alias("median_price"),
         missing.alias("missing_count"),
         percent(missing, F.count(F.lit(1))).alias("missing_pct"),
     )

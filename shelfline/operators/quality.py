@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions import outside_domain, percent, round_half_up, status, to_number
+from shelfline.operators import cube, ranks
 from shelfline.operators.cleaning import parse_date
 from shelfline.operators.joins import totals_cross_check
+from shelfline.operators.profiles import WEEKDAY_LABEL, WEEKEND_LABEL
 from shelfline.operators.reshape import day_cells, wide_sales_total
 from shelfline.schemas import FACT_KEY, PRICE_KEY, day_columns
 
@@ -422,46 +424,117 @@ def assert_monthly_total(daily: DataFrame, monthly: DataFrame) -> DataFrame:
     return totals_cross_check(daily.agg(F.sum("sales")), monthly.agg(F.sum("total_monthly_sales")), "total_daily", "total_monthly")
 
 
-def validation_report(fact: DataFrame, wide: DataFrame | None = None) -> DataFrame:
-    """Status rows (section, name, status, value): fact statuses, the hierarchy rules, the match
-    with the raw total, and the overall verdict from the seven critical statuses."""
-    integrity = [
-        ("row_count", "row_count_status"),
-        ("date_range", "date_range_status"),
-        ("negative_sales_count", "negative_sales_status"),
-        ("missing_dates", "missing_dates_status"),
-        ("missing_prices", "missing_prices_status"),
-        ("duplicate_combinations", "duplicates_status"),
-        ("invalid_prices", "invalid_prices_status"),
-    ]
+# Sections of the report in order, and the statuses that decide its verdict.
+SECTIONS = ["size", "integrity", "hierarchy", "sales", "calendar", "prices", "overall"]
+CRITICAL = ["row_count", "date_range", "negative_sales_count", "missing_dates", "duplicate_combinations", "invalid_prices", "overall_hierarchy"]
+REPORT = "section string, place int, name string, key string, status string, value bigint, mean double, low double, high double"
+TOP_ITEMS = 3
 
-    def value(name: str) -> Column:
-        if name == "date_range":
-            return F.datediff("max_date", "min_date").cast("bigint")
-        return F.col(name).cast("bigint")
 
-    facts = validate_fact(fact)
-    rows = [
-        F.struct(F.lit("integrity").alias("section"), F.lit(n).alias("name"), F.col(s).alias("status"), value(n).alias("value"))
-        for n, s in integrity
-    ]
-    if wide is not None:
-        raw = wide_sales_total(wide).scalar()
-        facts = facts.withColumn("raw_total", raw)
-        match = status(F.col("raw_total") == F.col("total_sales"), "WARNING")
-        rows.append(F.struct(F.lit("totals").alias("section"), F.lit("raw_sales_match").alias("name"), match.alias("status"), F.col("raw_total").alias("value")))
-    parts = facts.select(F.inline(F.array(*rows)))
-    hierarchy = check_hierarchy(fact).select(
-        F.lit("hierarchy").alias("section"), F.col("rule").alias("name"), status(F.col("passed")).alias("status"), F.col("offender_count").alias("value")
+def validation_report(fact: DataFrame, wide: DataFrame | None = None) -> DataFrame:
+    """The full report as rows of REPORT: size and coverage, integrity, hierarchy with the first
+    offenders, sales by store, category, department and best items, calendar patterns, prices, and the
+    verdict from the CRITICAL statuses.
+
+    The fact is scanned three times: for the cube, for repeated keys, for the median price. An empty
+    fact gives the lines that need no rows and fails."""
+    whole = cube.sales_cube(fact)
+    facts = cube.overall_row(whole, HIERARCHY_RULES).withColumns(
+        {"duplicates": count_duplicates(fact, FACT_KEY).scalar(), "median": ranks.median(fact, to_number("sell_price")).scalar()}
+    )
+    facts = facts.withColumn("raw_total", wide_sales_total(wide).scalar() if wide is not None else F.lit(None).cast("bigint"))
+    total = lambda name: _zero_if_none(F.col(name))
+    rules = [f"{child}->{parent}" for child, parent in HIERARCHY_RULES]
+    broken = reduce(Column.__add__, [F.col(f"`{rule}`") for rule in rules])
+    passed = {
+        "row_count": total("n") > 0,
+        "date_range": F.col("first_day").isNotNull(),
+        "negative_sales_count": total("negative") == 0,
+        "missing_dates": total("no_date") == 0,
+        "duplicate_combinations": F.col("duplicates") == 0,
+        "invalid_prices": total("bad_price") == 0,
+        "overall_hierarchy": broken == 0,
+    }
+    match = F.when(F.col("raw_total").isNull(), "INFO").otherwise(status(F.col("raw_total") == F.col("units"), "WARNING"))
+    span = F.concat_ws(" to ", F.col("first_day").cast("string"), F.col("last_day").cast("string"))
+    lines = {
+        "size": [
+            ("row_count", None, total("n"), {}),
+            ("date_range", F.when(F.col("first_day").isNotNull(), span), F.datediff("last_day", "first_day"), {}),
+            *[(f"unique_{plural}", None, F.col(f"unique_{level}"), {}) for plural, level in
+              (("items", "item"), ("stores", "store"), ("departments", "department"), ("categories", "category"), ("states", "state"))],
+        ],
+        "integrity": [
+            ("raw_sales_match", None, F.col("raw_total"), {"status": match}),
+            ("negative_sales_count", None, total("negative"), {}),
+            ("missing_dates", None, total("no_date"), {}),
+            ("missing_prices", None, total("no_price"), {"status": status(total("no_price") == 0, "WARNING"), "mean": percent("no_price", "n")}),
+            ("duplicate_combinations", None, F.col("duplicates"), {}),
+            ("invalid_prices", None, total("bad_price"), {}),
+        ],
+        "hierarchy": [
+            *[(rule, None, F.col(f"`{rule}`"), {"status": status(F.col(f"`{rule}`") == 0)}) for rule in rules],
+            ("overall_hierarchy", None, broken, {}),
+        ],
+        "sales": [
+            ("total_sales", None, F.col("units"), {}),
+            ("daily_sales", None, F.col("sales_n"), {"mean": cube.mean_sales(), "low": F.col("lo").cast("double"), "high": F.col("hi").cast("double")}),
+        ],
+        "calendar": [],
+        "prices": [
+            ("sell_price", None, F.col("price_n"), {"mean": cube.mean_price(2), "low": round_half_up("price_lo", 2), "high": round_half_up("price_hi", 2)}),
+            ("median_price", None, F.col("price_n"), {"mean": round_half_up("median", 2)}),
+        ],
+    }
+    failed = reduce(Column.__add__, [F.when(passed[name], 0).otherwise(1) for name in CRITICAL])
+    lines["overall"] = [("overall_status", None, failed, {"status": status(failed == 0)})]
+    fixed = facts.select(F.inline(F.array(*[
+        _line(section, place, F.lit(name), key, value, **{"status": status(passed[name]) if name in passed else None, **more})
+        for section, entries in lines.items() for place, (name, key, value, more) in enumerate(entries)
+    ])))
+    first = cube.offenders(whole, HIERARCHY_RULES).select(F.col("rule").alias("_rule"), "children")
+    fixed = fixed.join(first, (F.col("section") == "hierarchy") & (F.col("name") == F.col("_rule")), "left")
+    fixed = fixed.withColumn("key", F.coalesce("children", "key")).drop("_rule", "children")
+
+    level = F.col("level")
+    day = F.date_format(F.date_add(F.lit("1970-01-05").cast("date"), F.col("key").try_cast("int")), "EEEE")  # a Monday
+    part = F.when(F.col("key") == "true", WEEKEND_LABEL).otherwise(WEEKDAY_LABEL)
+    known = whole.where(F.col("key").isNotNull())
+    by_entity = known.where(level.isin("store", "category", "department")).select(
+        _line("sales", F.when(level == "store", 2).when(level == "category", 3).otherwise(4), F.concat(F.lit("sales_by_"), level), F.col("key"), F.col("units"), mean=cube.mean_sales()).alias("line")
+    )
+    best = known.where(level == "item").orderBy(F.desc("units"), "key").limit(TOP_ITEMS)
+    best = best.select(_line("sales", 5, F.lit("top_items"), F.col("key"), F.col("units"), mean=cube.mean_sales()).alias("line"))
+    by_day = known.where(level.isin("weekday", "weekend")).select(
+        _line("calendar", F.when(level == "weekday", F.col("key").try_cast("int")).otherwise(7), F.when(level == "weekday", "sales_by_weekday").otherwise("weekend_contrast"),
+              F.when(level == "weekday", day).otherwise(part), F.col("units"), mean=cube.mean_sales()).alias("line")
     )
-    lines = parts.unionByName(hierarchy)
-    # One pass: the few report lines are gathered, judged, and given back with the verdict.
-    failed = F.filter("lines", lambda x: x["status"] == "FAIL")
-    verdict = F.struct(
-        F.lit("overall").alias("section"),
-        F.lit("overall_status").alias("name"),
-        status(F.size(failed) == 0).alias("status"),
-        F.size(failed).cast("bigint").alias("value"),
+    priced = known.where(level == "category").select(
+        _line("prices", 2, F.lit("price_by_category"), F.col("key"), F.col("price_n"), mean=cube.mean_price(4), low=F.col("price_lo"), high=F.col("price_hi")).alias("line")
     )
-    gathered = lines.agg(F.collect_list(F.struct("section", "name", "status", "value")).alias("lines"))
-    return gathered.select(F.inline(F.concat("lines", F.array(verdict))))
+    return union_all([fixed, *[frame.select("line.*") for frame in (by_entity, best, by_day, priced)]])
+
+
+def _line(section: str, place, name: Column, key: Column | None, value: Column, status: Column | None = None, mean: Column | None = None, low: Column | None = None, high: Column | None = None) -> Column:
+    """One report row as a struct with the columns of REPORT."""
+    place = place if isinstance(place, Column) else F.lit(place)
+    cells = {"place": place, "name": name, "key": key, "status": status, "value": value, "mean": mean, "low": low, "high": high}
+    kinds = dict(part.split() for part in REPORT.split(", "))
+    return F.struct(F.lit(section).alias("section"), *[(F.lit(None) if cell is None else cell).cast(kinds[c]).alias(c) for c, cell in cells.items()])
+
+
+def render_report(report: DataFrame) -> DataFrame:
+    """Report lines (line_no, line) in reading order, one heading per section, ready for a text sink."""
+    number = F.array_position(F.array(*map(F.lit, SECTIONS)), F.col("section"))
+    figures = [
+        F.when(F.col("value").isNotNull(), F.format_string("%,d", "value")),
+        F.when(F.col("mean").isNotNull(), F.format_string("mean %.2f", "mean")),
+        F.when(F.col("low").isNotNull(), F.format_string("from %.2f to %.2f", "low", "high")),
+        F.when(F.col("status").isNotNull(), F.format_string("[%s]", "status")),
+    ]
+    body = F.concat(F.lit("  "), F.rpad(F.concat_ws(" ", "name", F.col("key")), 48, " "), F.lit(" "), F.concat_ws(", ", *figures))
+    lines = report.select(number.alias("section_no"), F.col("place"), F.col("value"), F.col("key"), body.alias("line"))
+    heads = report.select(number.alias("section_no"), F.lit(-1).alias("place"), F.lit(None).cast("bigint").alias("value"), F.lit(None).cast("string").alias("key"),
+                          F.concat(number.cast("string"), F.lit(". "), F.upper("section")).alias("line")).distinct()
+    ordered = lines.unionByName(heads).orderBy("section_no", "place", F.desc("value"), "key", "line")
+    return ordered.select(F.monotonically_increasing_id().alias("line_no"), "line")

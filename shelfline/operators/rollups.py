@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions import epoch_day, round_half_up
+from shelfline.functions import epoch_day, money_avg, round_half_up
 
 HIERARCHY = ["state_id", "store_id", "cat_id", "dept_id", "item_id"]
 
@@ -50,43 +53,49 @@ def daily_sales(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     return sold.join(calendar, "sales_date", "left").select("sales_date", *HIERARCHY, "sales", "sell_price", *extra)
 
 
+# Days of one word of bits; day numbers less than this apart own different bits.
+WORD_DAYS = 64
+
+
+def _figures(label: str, selling: Column, recorded: Column) -> list[Column]:
+    price = F.col("sell_price")
+    return [
+        F.min("sales_date").alias(f"{label}_start_date"),
+        F.max("sales_date").alias(f"{label}_end_date"),
+        F.sum("sales").alias(f"total_{label}ly_sales"),
+        round_half_up(money_avg(price), 4).alias("avg_sell_price"),
+        F.min(price).alias("min_sell_price"),
+        F.max(price).alias("max_sell_price"),
+        F.coalesce(selling, F.lit(0)).cast("bigint").alias("selling_days"),
+        F.coalesce(recorded, F.lit(0)).cast("bigint").alias("recorded_days"),
+    ]
+
+
 def _rollup(daily: DataFrame, period: list[str], label: str) -> DataFrame:
-    """Totals per period and series.
+    """Totals per period and series, one grouping with map-side combine and one shuffle.
 
-    Distinct days are counted exactly with day bitmaps: rows are first grouped by period and
-    64-day block, where each day owns one bit, then the bit counts are added. Both steps combine
-    on the map side, whereas two count(distinct) would triple every row before the shuffle.
-    """
+    Each day owns one bit of a 64-bit word, by its day number modulo 64, so distinct days are the bits
+    set. That is exact where the days of a period lie less than 64 apart, as those of a week or month
+    do. Periods that reach further (days without a calendar row share one null period) are found from
+    their dates alone and counted by word and bit; without any, that branch is empty and never runs."""
     keys = [*period, *HIERARCHY]
     day = epoch_day("sales_date")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(day, F.lit(64)).cast("int"))
-    price = F.col("sell_price")
-    blocks = daily.groupBy(*keys, F.floor(day / 64).alias("_block")).agg(
-        F.min("sales_date").alias("first_day"),
-        F.max("sales_date").alias("last_day"),
-        F.sum("sales").alias("units"),
-        F.sum(price.cast("decimal(18,6)")).alias("price_sum"),
-        F.count(price).alias("price_n"),
-        F.min(price).alias("price_min"),
-        F.max(price).alias("price_max"),
-        F.bit_or(F.when(F.col("sales") > 0, bit)).alias("sold_bits"),
-        F.bit_or(bit).alias("day_bits"),
-    )
-    average = F.try_divide(F.sum("price_sum").cast("double"), F.sum("price_n").cast("double"))
-
-    def days(bits: str):
-        return F.coalesce(F.sum(F.bit_count(bits)), F.lit(0)).cast("bigint")
-
-    return blocks.groupBy(*keys).agg(
-        F.min("first_day").alias(f"{label}_start_date"),
-        F.max("last_day").alias(f"{label}_end_date"),
-        F.sum("units").alias(f"total_{label}ly_sales"),
-        round_half_up(average, 4).alias("avg_sell_price"),
-        F.min("price_min").alias("min_sell_price"),
-        F.max("price_max").alias("max_sell_price"),
-        days("sold_bits").alias("selling_days"),
-        days("day_bits").alias("recorded_days"),
-    )
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(day, F.lit(WORD_DAYS)).cast("int"))
+    sold = F.when(F.col("sales") > 0, bit)
+
+    spans = daily.groupBy(*[F.col(c).alias(f"_{c}") for c in period]).agg((F.max(day) - F.min(day)).alias("_span"))
+    far = F.broadcast(spans.where(F.col("_span") >= WORD_DAYS))  # no more rows than the calendar has periods
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in period])
+    near = daily.join(far, same, "left_anti").groupBy(*keys).agg(*_figures(label, F.bit_count(F.bit_or(sold)), F.bit_count(F.bit_or(bit))))
+
+    reaching = daily.join(far, same, "left_semi")
+    words = reaching.groupBy(*keys, F.floor(day / WORD_DAYS).alias("_word")).agg(F.bit_or(sold).alias("sold"), F.bit_or(bit).alias("seen"))
+    counted = words.groupBy(*keys).agg(F.sum(F.bit_count("sold")).alias("_sold"), F.sum(F.bit_count("seen")).alias("_seen"))
+    counted = counted.select(*[F.col(c).alias(f"_{c}") for c in keys], "_sold", "_seen")
+    totals = reaching.groupBy(*keys).agg(*_figures(label, F.lit(0), F.lit(0)))
+    match = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    exact = {"selling_days": F.coalesce("_sold", F.lit(0)).cast("bigint"), "recorded_days": F.coalesce("_seen", F.lit(0)).cast("bigint")}
+    return near.unionByName(totals.join(counted, match).select(*[exact.get(c, F.col(c)).alias(c) for c in near.columns]))
 
 
 def weekly_sales(daily: DataFrame) -> DataFrame:

@@ -88,8 +88,7 @@ def job_validate(spark: SparkSession, dataset: str, report_path: str | None = No
     tb.write_table(quality.validation_report(fact, wide), f"{dataset}.validation_report")
     report = spark.table(f"{dataset}.validation_report")
     if report_path:
-        line = F.format_string("%-10s %-28s [%s] %s", "section", "name", "status", F.col("value").cast("string"))
-        write_report(report.select(line.alias("line")), report_path)
+        write_report(quality.render_report(report), report_path)
     overall = report.filter(F.col("section") == "overall").first().status
     return {"report": report, "metrics": quality.validate_fact(fact), "status": overall}
 

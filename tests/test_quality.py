@@ -153,3 +153,67 @@ def test_dirty_calendar_text(spark):
     assert found["Valid Date Format"] == 3 and found["Valid Year/Week Ranges"] == 2
     stats = q.column_stats(raw, ["year"]).first()
     assert (stats.min_value, stats.max_value) == (1999.0, 2012.0)
+
+
+def test_order_keys_keep_every_double(spark):
+    import math
+    import random
+    import struct
+
+    from shelfline.operators import ranks
+
+    rng = random.Random(1)
+    values = [0.0, -0.0, 5e-324, -5e-324, math.inf, -math.inf, 1.7976931348623157e308]
+    values += [near for k in range(-1060, 1024) for near in (2.0**k, math.nextafter(2.0**k, 0), math.nextafter(2.0**k, math.inf))]
+    values += [v for v in (struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(3000)) if v == v]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", ranks.order_key(F.col("v")).alias("key"))
+    rows = df.select("v", "key", ranks.from_key(F.col("key")).alias("back")).collect()
+    assert all(r.v == r.back for r in rows)
+    by_value, by_key = sorted(rows, key=lambda r: r.v), sorted(rows, key=lambda r: r.key)
+    assert [r.v for r in by_value] == [r.v for r in by_key]
+
+
+def test_ranks_of_many_and_no_values(spark):
+    from shelfline.operators import ranks
+
+    df = spark.range(1, 10_001).select((F.col("id") % 1000).cast("double").alias("x"))
+    quarters = {"q1": (1, 3, 4), "q3": (3, 3, 4)}
+    assert {r.name: r.value for r in ranks.ranked_values(df, F.col("x"), quarters).collect()} == {"q1": 249.0, "q3": 749.0}
+    assert ranks.median(df.limit(0), F.col("x")).first().value is None
+
+
+def test_price_statistics_of_odd_prices(spark):
+    nan, inf = float("nan"), float("inf")
+    prices = [1.0, nan, 3.0, None, 2e12, 4e35]
+    fact = frames.fact(spark, [(*frames.fact_rows()[0][:7], p) for p in prices])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    planned = profiles.price_stats(fact)
+    assert not tracker.getJobIdsForGroup("planning")  # nothing has run yet
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    row = planned.first()
+    assert (row.min_price, row.max_price, row.missing_count, row.missing_pct) == (1.0, 4e35, 2, 33.33)
+    assert row.median_price == (3.0 + 2e12) / 2 and row.avg_price == 1e35
+    endless = profiles.price_stats(frames.fact(spark, [(*frames.fact_rows()[0][:7], p) for p in (1.0, inf, 2.0)])).first()
+    assert (endless.median_price, endless.max_price, endless.avg_price) == (2.0, inf, inf)
+
+
+def test_rollups_shuffle_once_and_count_far_days(spark):
+    import datetime as dt
+
+    calendar = rollups.stg_calendar(frames.calendar(spark))
+    daily = rollups.daily_sales(frames.fact(spark), calendar)
+    for rollup in (rollups.weekly_sales, rollups.monthly_sales):
+        df = rollup(daily)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+        assert sum("hashpartitioning" in line and "item_id" in line for line in plan.splitlines()) == 1
+    # Days without a calendar row share the null period: 200 of them, each twice, every second one without sales.
+    start = dt.date(2030, 1, 1)
+    rows = [(start + dt.timedelta(n), "H1", "H_1", "HOBBIES", "CA_1", "CA", n % 2, 1.0) for n in range(200) for _ in range(2)]
+    far = rollups.weekly_sales(rollups.daily_sales(frames.fact(spark, rows + frames.fact_rows()), calendar))
+    got = {(r.wm_yr_wk, r.item_id, r.store_id): r for r in far.collect()}
+    lost = got[None, "H1", "CA_1"]
+    assert (lost.recorded_days, lost.selling_days, lost.total_weekly_sales, lost.avg_sell_price) == (201, 101, 205, 1.0181)  # and the fourth day of the frames
+    # The fourth day of the frames has no calendar row either.
+    assert got[11101, "H1", "CA_1"].recorded_days == 3 and got[None, "F1", "TX_1"].recorded_days == 1
