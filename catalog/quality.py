@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog import inputs as i
 from catalog.sql import query, rnd
-from shelfline.operators import quality as q, rollups
+from shelfline.functions import round_half_up
+from shelfline.operators import audit, quality as q, rollups
 from shelfline.schemas import FACT_KEY
 
 
@@ -27,8 +30,9 @@ def _where(test: str) -> str:
     return f"count(*) FILTER (WHERE {test})"
 
 
-def _checks_rows(spark, d):
-    return q.union_all([q.dq_calendar(i.raw_calendar(spark, d)), q.dq_sales(i.raw_sales(spark, d)), q.dq_prices(i.raw_prices(spark, d))])
+def rounded_prices(rows):
+    """The mean price to four decimals, because averages of doubles depend on the order of rows."""
+    return rows.withColumn("mean_value", F.when(F.col("name") == "sell_price", round_half_up("mean_value", 4)).otherwise(F.col("mean_value")))
 
 
 _CAL = _checks(
@@ -72,6 +76,76 @@ _PRICES = _checks(
 )
 _ALL = f"{_CAL} UNION ALL {_SALES} UNION ALL {_PRICES}"
 
+
+def _detailed(checks: str, events: str) -> str:
+    """Check rows with their detail; `events` is a table of calendar rows."""
+    return f"""SELECT *, CASE check_name WHEN 'Event Coverage' THEN (SELECT count(event_name_1) FROM {events}) || ' days with an event'
+        WHEN 'Sales Outliers Audit' THEN issue_count || ' cells above 500' ELSE CASE WHEN issue_count = 0 THEN 'no issues' ELSE issue_count || ' issues' END END AS detail
+        FROM ({checks})"""
+
+
+def _row(dataset: str, kind: str, name: str, source: str = "", passed: str = "NULL", amount: str = "NULL", detail: str = "NULL", low: str = "NULL", high: str = "NULL", mean: str = "NULL") -> str:
+    return f"""SELECT '{dataset}' AS dataset, '{kind}' AS kind, '{name}' AS name, CAST({passed} AS BOOLEAN) AS passed, CAST({amount} AS BIGINT) AS amount, CAST({detail} AS VARCHAR) AS detail,
+        CAST({low} AS DOUBLE) AS min_value, CAST({high} AS DOUBLE) AS max_value, CAST({mean} AS DOUBLE) AS mean_value {source}"""
+
+
+_CAL_COLUMNS = "date wm_yr_wk weekday wday month year d event_name_1 event_type_1 event_name_2 event_type_2 snap_CA snap_TX snap_WI".split()
+_CAL_TYPES = ["date", "bigint", "string", "bigint", "bigint", "bigint", *["string"] * 5, *["bigint"] * 3]
+
+
+def _audit_sql(cal: str, cells: str, prices: str, checks: str, types: dict[str, list[tuple[str, str]]]) -> str:
+    """Whole audits of three tables: shape, types, nulls, statistics, checks."""
+    def pct(test):
+        return rnd(f"100e0 * CAST({_where(test)} AS DOUBLE) / count(*)", 2)
+
+    def num(c):
+        return f"TRY_CAST({c} AS DOUBLE)"
+
+    whole = {"calendar": (cal, "count(*)", f"max({len(types['calendar'])})"), "prices": (prices, "count(*)", f"max({len(types['prices'])})")}
+    whole["sales"] = (cells, "count(DISTINCT id)", "6 + count(DISTINCT n)")
+    rows = []
+    for dataset, (table, count, columns) in whole.items():
+        rows += [_row(dataset, "shape", "rows", f"FROM {table}", amount=count), _row(dataset, "shape", "columns", f"FROM {table}", amount=columns)]
+        again = "0" if dataset == "sales" else f"(SELECT count(*) FROM {table}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {table}))"
+        rows.append(_row(dataset, "shape", "duplicate rows", amount=again))
+        rows += [_row(dataset, "type", name, detail=f"'{kind}'") for name, kind in types[dataset]]
+        source = f"FROM (SELECT DISTINCT id, item_id, dept_id, cat_id, store_id, state_id FROM {table})" if dataset == "sales" else f"FROM {table}"
+        for name, _ in types[dataset]:
+            absent = f'"{name}" IS NULL'
+            rows.append(_row(dataset, "missing", name, source, amount=_where(absent), mean=pct(absent)))
+    for c in ("year", "month", "wday"):
+        rows.append(_row("calendar", "stat", c, f"FROM {cal}", low=f"min({num(c)})", high=f"max({num(c)})", mean=f"avg({num(c)})"))
+    day = "TRY_CAST(date AS DATE)"
+    span = f"CASE WHEN count(*) = count({day}) THEN CAST(min({day}) AS VARCHAR) || ' to ' || CAST(max({day}) AS VARCHAR) END"
+    rows.append(_row("calendar", "stat", "date_range", f"FROM {cal}", detail=span))
+    rows.append(_row("sales", "stat", "daily_sales_volume", f"FROM (SELECT {num('cell')} AS v FROM {cells})", low="min(v)", high="max(v)", mean=rnd("avg(v)", 2)))
+    rows.append(_row("prices", "stat", "sell_price", f"FROM {prices}", low=f"min({num('sell_price')})", high=f"max({num('sell_price')})", mean=rnd(f"avg({num('sell_price')})", 4)))
+    found = " UNION ALL ".join(rows)
+    return f"""{found} UNION ALL SELECT dataset, 'check', check_name, passed, issue_count, detail, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+        FROM ({_detailed(checks, cal)})"""
+
+
+_RAW_TYPES = {
+    "calendar": [(c, "string") for c in _CAL_COLUMNS],
+    "sales": [(c, "string") for c in ("id", "item_id", "dept_id", "cat_id", "store_id", "state_id")],
+    "prices": [(c, "string") for c in ("store_id", "item_id", "wm_yr_wk", "sell_price")] + [("load_no", "int")],
+}
+_RAW_AUDIT = _audit_sql("raw_cal", "raw_cells", "raw_prices", _ALL, _RAW_TYPES)
+# The same audit over clean inputs, where every count is zero but those of the events.
+_CLEAN_CHECKS = _ALL.replace("raw_cal", "cal").replace("raw_cells", "(SELECT *, sales AS cell FROM cells)").replace("raw_prices", "prices").replace("coalesce(date, '~')", "date").replace(_checks("prices", {"Numeric Price Data Type": "count(*)"}, "prices"), _checks("prices", {"Numeric Price Data Type": "0 * count(*)"}, "prices"))
+JOB_AUDIT = query(
+    _audit_sql(
+        "cal", "(SELECT *, sales AS cell FROM cells)", "prices", _CLEAN_CHECKS,
+        {"calendar": list(zip(_CAL_COLUMNS, _CAL_TYPES)), "sales": _RAW_TYPES["sales"], "prices": [("store_id", "string"), ("item_id", "string"), ("wm_yr_wk", "bigint"), ("sell_price", "double")]},
+    )
+)
+
+
+def _audits(spark, d):
+    tables = {"calendar": i.raw_calendar(spark, d), "sales": i.raw_sales(spark, d), "prices": i.raw_prices(spark, d)}
+    return q.union_all([audit.audit(df, name) for name, df in tables.items()])
+
+
 _DUP_FACT = "count(*) - count(DISTINCT (coalesce(date, DATE '1900-01-01'), item_id, store_id))"
 _VALID = f"""SELECT count(*) AS row_count, min(date) AS min_date, max(date) AS max_date, count(DISTINCT item_id) AS unique_items,
     count(DISTINCT store_id) AS unique_stores, count(DISTINCT dept_id) AS unique_depts, count(DISTINCT cat_id) AS unique_cats,
@@ -221,15 +295,31 @@ ENTRIES = {
         ),
     ),
     "count_duplicates": (lambda s, d: q.count_duplicates(i.faulty_fact(s, d), FACT_KEY), query(f"SELECT {_DUP_FACT} AS duplicate_count FROM faulty_fact")),
-    "dq_calendar": (lambda s, d: q.dq_calendar(i.raw_calendar(s, d)), query(_CAL)),
-    "dq_sales": (lambda s, d: q.dq_sales(i.raw_sales(s, d)), query(_SALES)),
-    "dq_prices": (lambda s, d: q.dq_prices(i.raw_prices(s, d)), query(_PRICES)),
+    "dq_calendar": (lambda s, d: q.dq_calendar(i.raw_calendar(s, d)), query(_detailed(_CAL, "raw_cal"))),
+    "dq_sales": (lambda s, d: q.dq_sales(i.raw_sales(s, d)), query(_detailed(_SALES, "raw_cal"))),
+    "dq_prices": (lambda s, d: q.dq_prices(i.raw_prices(s, d)), query(_detailed(_PRICES, "raw_cal"))),
+    "dq_audit": (lambda s, d: rounded_prices(_audits(s, d)), query(_RAW_AUDIT)),
+    "render_audit": (
+        lambda s, d: audit.render_audit(_audits(s, d)),
+        query(
+            """SELECT dataset, CAST(list_position(['shape', 'check', 'missing', 'stat'], kind) AS INTEGER) AS line_no, line FROM (SELECT dataset, kind,
+            CASE WHEN kind = 'check' THEN '  [' || CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END || '] ' || name || ': ' || detail
+            WHEN kind = 'missing' AND amount > 0 THEN '  nulls in ' || name || ': ' || format('{:,}', amount) || printf(' (%.2f%%)', mean_value)
+            WHEN kind = 'stat' AND min_value IS NOT NULL THEN '  ' || name || printf(': min %.2f, max %.2f, mean %.2f', min_value, max_value, mean_value)
+            WHEN kind = 'stat' AND detail IS NOT NULL THEN '  ' || name || ': ' || detail
+            WHEN kind = 'shape' THEN upper(dataset) || ': ' || format('{:,}', amount) || ' ' || name END AS line FROM r) WHERE line IS NOT NULL""",
+            r=_RAW_AUDIT,
+        ),
+    ),
     "dq_report": (
-        lambda s, d: q.dq_report(_checks_rows(s, d)),
+        lambda s, d: audit.audit_summary(_audits(s, d)),
         query(
-            f"""SELECT dataset, count(*) AS check_count, count(*) FILTER (WHERE NOT passed) AS failed_count,
-            CAST(sum(issue_count) AS BIGINT) AS issue_count, CASE WHEN bool_and(passed) THEN 'PASS' ELSE 'FAIL' END AS overall_status
-            FROM ({_ALL}) GROUP BY 1"""
+            """SELECT dataset, max(amount) FILTER (kind = 'shape' AND name = 'rows') AS row_count, max(amount) FILTER (kind = 'shape' AND name = 'columns') AS column_count,
+            max(amount) FILTER (kind = 'shape' AND name = 'duplicate rows') AS duplicate_rows, count(*) FILTER (kind = 'missing' AND amount > 0) AS columns_with_nulls,
+            CAST(sum(amount) FILTER (kind = 'missing') AS BIGINT) AS null_cells, count(*) FILTER (kind = 'check') AS check_count,
+            count(*) FILTER (kind = 'check' AND NOT passed) AS failed_count, CAST(sum(amount) FILTER (kind = 'check') AS BIGINT) AS issue_count,
+            CASE WHEN bool_and(coalesce(passed, true)) THEN 'PASS' ELSE 'FAIL' END AS overall_status FROM r GROUP BY 1""",
+            r=_RAW_AUDIT,
         ),
     ),
     "dq_stats": (

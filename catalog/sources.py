@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from catalog import inputs as i
 from catalog.quality import ENTRIES as QUALITY
+from catalog.quality import JOB_AUDIT, rounded_prices
 from catalog.sql import query
-from shelfline.operators import quality as q
+from shelfline.operators import audit
 from shelfline.plans import jobs
 from shelfline.schemas import FACT, ID_COLUMNS
 from shelfline.session import scratch_path
@@ -88,9 +89,9 @@ def _export(spark, d):
 
 
 def _report(spark, d):
+    """The audit of the raw calendar as text, read back."""
     path = scratch_path(spark, "report")
-    raw = i.raw_calendar(spark, d)
-    files.write_report(q.render_checks(q.dq_calendar(raw), q.table_shape(raw, "calendar")), path)
+    files.write_report(audit.render_audit(audit.audit(i.raw_calendar(spark, d), "calendar")), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
@@ -118,7 +119,8 @@ def _ingested(spark, d):
 
 
 def _job_quality(spark, d):
-    return jobs.job_quality(spark, _ingested(spark, d))["checks"]
+    """The stored audit, observed while the cleaned tables were written, with the state of those tables."""
+    return rounded_prices(jobs.job_quality(spark, _ingested(spark, d))["audit"])
 
 
 def _job_transform(spark, d):
@@ -170,14 +172,14 @@ ENTRIES = {
         ),
     ),
     "export_csv": (_export, query("SELECT * FROM forecast")),
-    "write_report": (_report, None),
+    "write_report": (_report, f"SELECT line FROM ({QUALITY['render_audit'][1]}) WHERE dataset = 'calendar'"),
     "ingest_all": (_ingest, query(_RAW_COUNTS.format("table_name", "row_count", "true AS success, ", ""))),
     "ingest_summary": (
         _ingest_summary,
         query("SELECT (SELECT count(*) FROM cal) + (SELECT count(*) FROM ids) + (SELECT count(*) FROM prices) AS total_rows, 'SUCCESS' AS overall_status"),
     ),
     "count_union": (_count_union, query(_RAW_COUNTS.format("tbl", "cnt", ""))),
-    "job_quality": (_job_quality, None),
+    "job_quality": (_job_quality, JOB_AUDIT),
     "job_transform": (_job_transform, query(_BUILT)),
     "job_prepare": (_job_prepare, query(_BUILT)),
     "job_validate": (_job_validate, QUALITY["validation_report"][1]),

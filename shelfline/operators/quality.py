@@ -10,48 +10,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfline.functions import outside_domain, percent, round_half_up, status, to_number
 from shelfline.operators import cube, ranks
-from shelfline.operators.cleaning import parse_date
+from shelfline.operators.audit import INFORMATIONAL, count_duplicates, dq_calendar, dq_prices, dq_sales, zero_if_none  # noqa: F401
 from shelfline.operators.joins import totals_cross_check
 from shelfline.operators.profiles import WEEKDAY_LABEL, WEEKEND_LABEL
 from shelfline.operators.reshape import day_cells, wide_sales_total
-from shelfline.schemas import FACT_KEY, PRICE_KEY, day_columns
-
-# Check names, allowed event types and limits.
-EVENT_TYPES = ["Sporting", "Cultural", "National", "Religious"]
-YEAR_RANGE = (2000, 2050)
-OUTLIER_UNITS = 500
-CALENDAR_CHECKS = [
-    "Missing Dates",
-    "Duplicate Dates",
-    "Valid Date Format",
-    "Missing Weekday Values",
-    "Valid Year/Week Ranges",
-    "Unexpected Event Types",
-    "Event Coverage",
-]
-SALES_CHECKS = [
-    "Duplicate Item-Store Identifiers",
-    "Missing Primary Identifiers",
-    "Missing Department/Category Information",
-    "Negative Sales Volumes",
-    "Missing Sales Values",
-    "Numeric Sales Data Types",
-    "Sales Outliers Audit",
-]
-PRICE_CHECKS = [
-    "Duplicate Store-Item-Week Keys",
-    "Missing Identifiers (Store/Item/Week)",
-    "Missing Prices",
-    "Negative Prices",
-    "Zero Prices",
-    "Numeric Price Data Type",
-]
-# Checks that report a number but never fail.
-INFORMATIONAL = ["Event Coverage", "Sales Outliers Audit"]
+from shelfline.schemas import FACT_KEY
 
 HIERARCHY_RULES = [("item_id", "dept_id"), ("dept_id", "cat_id"), ("item_id", "cat_id"), ("store_id", "state_id")]
 
@@ -77,10 +43,6 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _zero_if_none(total: Column) -> Column:
-    return F.coalesce(total, F.lit(0)).cast("bigint")
-
-
 def count_missing(df: DataFrame) -> DataFrame:
     """Nulls per column, all columns in one pass: (column_name, missing_count)."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
@@ -88,104 +50,6 @@ def count_missing(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(pairs))
 
 
-def count_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Rows beyond the first of each key (whole row by default); a null key equals another null.
-
-    Day columns are folded into a digest, so a whole-row check of a wide table shuffles a fixed
-    number of bytes per row.
-    """
-    days = [] if keys else day_columns(df)
-    columns = [F.col(c) for c in (keys or df.columns) if c not in days]
-    if days:
-        cells = F.transform(day_cells(df, days)[0], lambda x: F.coalesce(x.cast("string"), F.lit("null")))
-        columns.append(F.sha2(F.to_json(cells), 256).alias("_cells"))
-    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(_zero_if_none(F.sum(F.col("n") - 1)).alias("duplicate_count"))
-
-
-def _check_rows(counts: DataFrame, dataset: str, names: dict[str, str]) -> DataFrame:
-    """Turn a one-row frame of counts into check rows; `names` maps column to check name."""
-    entries = [
-        F.struct(
-            F.lit(dataset).alias("dataset"),
-            F.lit(name).alias("check_name"),
-            (F.lit(name in INFORMATIONAL) | (F.col(column) == 0)).alias("passed"),
-            F.col(column).cast("bigint").alias("issue_count"),
-        )
-        for column, name in names.items()
-    ]
-    return counts.select(F.inline(F.array(*entries)))
-
-
-def _duplicate_check(df: DataFrame, keys: list[str], dataset: str, name: str) -> DataFrame:
-    return _check_rows(count_duplicates(df, keys), dataset, {"duplicate_count": name})
-
-
-def _nulls(*columns: str) -> Column:
-    total = F.lit(0).cast("bigint")
-    for c in columns:
-        total = total + F.count_if(F.col(c).isNull())
-    return total
-
-
-def dq_calendar(df: DataFrame) -> DataFrame:
-    """Audit of a raw calendar. The event coverage check always passes and counts nothing."""
-    date, year = F.col("date"), to_number("year")
-    low, high = YEAR_RANGE
-    unreadable_year = F.col("year").isNotNull() & year.isNull()
-    counts = df.agg(
-        _nulls("date").alias("missing"),
-        F.count_if(date.isNotNull() & parse_date("date").isNull()).alias("unreadable"),
-        _nulls("weekday").alias("weekday"),
-        F.count_if(unreadable_year | (year < low) | (year > high)).alias("year"),
-        F.count_if(outside_domain("event_type_1", EVENT_TYPES)).alias("event"),
-        F.lit(0).alias("coverage"),
-    )
-    order = ["missing", "unreadable", "weekday", "year", "event", "coverage"]
-    names = [n for n in CALENDAR_CHECKS if n != "Duplicate Dates"]
-    checks = _check_rows(counts, "calendar", dict(zip(order, names)))
-    return checks.unionByName(_duplicate_check(df, ["date"], "calendar", "Duplicate Dates"))
-
-
-def dq_sales(df: DataFrame) -> DataFrame:
-    """Audit of raw wide sales. Cells are folded row by row, without unpivoting."""
-    days = day_columns(df)
-    cells, _ = day_cells(df)
-    # A text column counts every cell that cannot be read as a number, nulls included.
-    texts = [c for c in days if not isinstance(df.schema[c].dataType, T.NumericType)]
-
-    def cells_where(test, among: Column = cells) -> Column:
-        return F.coalesce(F.sum(F.size(F.filter(among, test))), F.lit(0))
-
-    unreadable = cells_where(lambda x: to_number(x).isNull(), day_cells(df, texts)[0]) if texts else F.lit(0)
-    counts = df.agg(
-        _nulls("id", "item_id", "store_id").alias("ids"),
-        _nulls("dept_id", "cat_id", "state_id").alias("groups"),
-        cells_where(lambda x: to_number(x) < 0).alias("negative"),
-        cells_where(lambda x: x.isNull()).alias("missing"),
-        unreadable.alias("text"),
-        cells_where(lambda x: to_number(x) > OUTLIER_UNITS).alias("outlier"),
-    )
-    order = ["ids", "groups", "negative", "missing", "text", "outlier"]
-    checks = _check_rows(counts, "sales", dict(zip(order, SALES_CHECKS[1:])))
-    return checks.unionByName(_duplicate_check(df, ["item_id", "store_id"], "sales", SALES_CHECKS[0]))
-
-
-def dq_prices(df: DataFrame) -> DataFrame:
-    price = to_number("sell_price")
-    numeric = isinstance(df.schema["sell_price"].dataType, T.NumericType)
-    counts = df.agg(
-        _nulls(*PRICE_KEY).alias("keys"),
-        _nulls("sell_price").alias("missing"),
-        F.count_if(price < 0).alias("negative"),
-        F.count_if(price == 0).alias("zero"),
-        (F.lit(0) if numeric else F.count(F.lit(1))).alias("text"),
-    )
-    order = ["keys", "missing", "negative", "zero", "text"]
-    checks = _check_rows(counts, "prices", dict(zip(order, PRICE_CHECKS[1:])))
-    return checks.unionByName(_duplicate_check(df, PRICE_KEY, "prices", PRICE_CHECKS[0]))
-
-
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, min_value, max_value, mean_value) of number columns, also those kept as text
     (what cannot be read is left out), one pass."""
@@ -281,7 +145,7 @@ def validate_fact(df: DataFrame) -> DataFrame:
         F.count_if(F.col("date").isNull()).alias("no_date"),
     )
     facts = entities.agg(
-        _zero_if_none(F.sum("n")).alias("row_count"),
+        zero_if_none(F.sum("n")).alias("row_count"),
         F.min("min_date").alias("min_date"),
         F.max("max_date").alias("max_date"),
         *[F.countDistinct(c).alias(f"unique_{label}") for c, label in names.items()],
@@ -289,10 +153,10 @@ def validate_fact(df: DataFrame) -> DataFrame:
         round_half_up(F.try_divide(F.sum("units").cast("double"), F.sum("sales_n")), 4).alias("avg_daily_sales"),
         F.min("lo").alias("min_sales"),
         F.max("hi").alias("max_sales"),
-        _zero_if_none(F.sum("negative")).alias("negative_sales_count"),
-        _zero_if_none(F.sum("no_date")).alias("missing_dates"),
-        _zero_if_none(F.sum("no_price")).alias("missing_prices"),
-        _zero_if_none(F.sum("bad_price")).alias("invalid_prices"),
+        zero_if_none(F.sum("negative")).alias("negative_sales_count"),
+        zero_if_none(F.sum("no_date")).alias("missing_dates"),
+        zero_if_none(F.sum("no_price")).alias("missing_prices"),
+        zero_if_none(F.sum("bad_price")).alias("invalid_prices"),
     )
     duplicates = count_duplicates(df, FACT_KEY).scalar()
     measured = facts.withColumns(
@@ -443,7 +307,7 @@ def validation_report(fact: DataFrame, wide: DataFrame | None = None) -> DataFra
         {"duplicates": count_duplicates(fact, FACT_KEY).scalar(), "median": ranks.median(fact, to_number("sell_price")).scalar()}
     )
     facts = facts.withColumn("raw_total", wide_sales_total(wide).scalar() if wide is not None else F.lit(None).cast("bigint"))
-    total = lambda name: _zero_if_none(F.col(name))
+    total = lambda name: zero_if_none(F.col(name))
     rules = [f"{child}->{parent}" for child, parent in HIERARCHY_RULES]
     broken = reduce(Column.__add__, [F.col(f"`{rule}`") for rule in rules])
     passed = {

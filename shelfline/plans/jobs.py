@@ -11,7 +11,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.operators import boosted, cleaning, features, forecasting, inventory, joins, keep, quality, reshape, rollups
+from shelfline.operators import audit, boosted, cleaning, features, forecasting, inventory, joins, keep, quality, reshape, rollups
 from shelfline.plans.layers import Layers, materialize_layers
 from shelfline.schemas import require_columns
 from shelfline.session import scratch_path
@@ -24,24 +24,26 @@ def _raw(spark: SparkSession, dataset: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 def job_quality(spark: SparkSession, dataset: str, report_path: str | None = None) -> dict:
-    """Audit the raw tables, write their cleaned copies, verify those."""
-    calendar, sales, prices = _raw(spark, dataset)
-    checks = quality.union_all([quality.dq_calendar(calendar), quality.dq_sales(sales), quality.dq_prices(prices)])
-    tb.write_table(checks, f"{dataset}.data_quality_checks")
-    checks = spark.table(f"{dataset}.data_quality_checks")
-    if report_path:
-        shapes = quality.union_all(
-            [quality.table_shape(df, name) for name, df in (("calendar", calendar), ("sales", sales), ("prices", prices))]
-        )
-        write_report(quality.render_checks(checks, shapes), report_path)
-    tb.write_table(cleaning.clean_calendar(calendar), f"{dataset}.{tb.CLEAN_CALENDAR}", sort_by=["date"])
-    tb.write_table(cleaning.clean_sales(sales), f"{dataset}.{tb.CLEAN_SALES}", sort_by=["store_id", "item_id"])
+    """Write cleaned copies of the raw tables, audit the raw rows on the way, verify the copies.
+
+    The audits are observed while the copies are written; only repeated keys are counted by themselves."""
+    raw = dict(zip(("calendar", "sales", "prices"), _raw(spark, dataset)))
+    seen = {name: audit.Observed(df, name) for name, df in raw.items()}
+    tb.write_table(cleaning.clean_calendar(seen["calendar"].rows), f"{dataset}.{tb.CLEAN_CALENDAR}", sort_by=["date"])
+    tb.write_table(cleaning.clean_sales(seen["sales"].rows), f"{dataset}.{tb.CLEAN_SALES}", sort_by=["store_id", "item_id"])
     tb.alias_view(spark, dataset, tb.CLEAN_SALES_ALIAS, tb.CLEAN_SALES)
-    tb.write_table(cleaning.clean_prices(prices), f"{dataset}.{tb.CLEAN_PRICES}", sort_by=["store_id", "item_id", "wm_yr_wk"])
+    tb.write_table(cleaning.clean_prices(seen["prices"].rows), f"{dataset}.{tb.CLEAN_PRICES}", sort_by=["store_id", "item_id", "wm_yr_wk"])
+    found = quality.union_all([audit.audit(df, name, found=seen[name].figures()) for name, df in raw.items()])
+    tb.write_table(found, f"{dataset}.data_quality_audit")
+    audits = spark.table(f"{dataset}.data_quality_audit")
+    tb.write_table(audit.checks_of(audits), f"{dataset}.data_quality_checks")
+    if report_path:
+        write_report(audit.render_audit(audits), report_path)
     names = (tb.CLEAN_CALENDAR, tb.CLEAN_SALES, tb.CLEAN_PRICES)
     return {
-        "checks": checks,
-        "status": quality.dq_report(checks),
+        "audit": audits,
+        "checks": spark.table(f"{dataset}.data_quality_checks"),
+        "status": audit.audit_summary(audits),
         "verification": {name: tb.verify_table(spark, f"{dataset}.{name}") for name in names},
     }
 
