@@ -105,8 +105,9 @@ def _stat(name: str, number: Column) -> dict[str, Column]:
 
 def _parts(df: DataFrame) -> list[tuple[str, list[str], bool]]:
     """(suffix, columns, kept as text) of the day columns, as text and number cells are judged differently."""
-    texts = [c for c in day_columns(df) if not isinstance(df.schema[c].dataType, T.NumericType)]
-    numeric = [c for c in day_columns(df) if c not in set(texts)]
+    days = set(day_columns(df))
+    kinds = [(f.name, isinstance(f.dataType, T.NumericType)) for f in df.schema.fields if f.name in days]
+    texts, numeric = [c for c, number in kinds if not number], [c for c, number in kinds if number]
     return [(suffix, names, suffix == "text") for suffix, names in (("text", texts), ("number", numeric)) if names]
 
 
@@ -214,7 +215,8 @@ def audit(df: DataFrame, dataset: str, kinds: list[str] = KINDS, found: DataFram
         rows["shape"] = [{"name": name, "amount": amount} for name, amount in shape.items()]
     if "check" in kinds:
         found = found.withColumn(f"check_{repeated}", count_duplicates(df, KEYS[dataset]).scalar())
-    rows["type"] = [{"name": name, "detail": F.lit(kind)} for name, kind in df.dtypes if name not in set(day_columns(df))]
+    days = set(day_columns(df))
+    rows["type"] = [{"name": name, "detail": F.lit(kind)} for name, kind in df.dtypes if name not in days]
     rows["missing"] = [{"name": n[5:], "amount": F.col(f"`{n}`"), "mean_value": percent(F.col(f"`{n}`"), F.col("rows"))} for n in names if n.startswith("null_")]
     rows["stat"] = [{"name": n[:-3], "min_value": F.col(n), "max_value": F.col(f"{n[:-3]}_hi"), "mean_value": F.col(f"{n[:-3]}_mean")} for n in names if n.endswith("_lo")]
     if dataset == "calendar":
