@@ -85,6 +85,18 @@ def _forecast_job(spark, d):
     return job_forecast(spark, dataset)["forecast"]
 
 
+_LAST = "max(sales) FILTER (WHERE k = {0})"
+_LAGS = ", ".join(f"CAST(coalesce({', '.join(_LAST.format(n) for n in (28, 14, 7, 1) if n <= k)}, 0) AS DOUBLE) AS lag_{k}" for k in (1, 7, 14, 28))
+_ROLLED = ", ".join(
+    f"{rnd(f'avg(sales) FILTER (WHERE k <= {n})', 4)} AS rolling_mean_{n}, {rnd(f'CASE WHEN count(*) >= {n} THEN stddev_pop(sales) FILTER (WHERE k <= {n}) ELSE 0 END', 4)} AS rolling_std_{n}"
+    for n in (7, 28)
+)
+_STEP = f"""SELECT store_id, item_id, sell_price, last_date, {', '.join(f'lag_{k}' for k in (1, 7, 14, 28))}, {', '.join(f'rolling_{m}_{n}' for n in (7, 28) for m in ('mean', 'std'))},
+    CAST(year(day0) AS INTEGER) AS year, CAST(month(day0) AS INTEGER) AS month, CAST(day(day0) AS INTEGER) AS day, CAST(isodow(day0) - 1 AS INTEGER) AS day_of_week,
+    CAST(weekofyear(day0) AS INTEGER) AS week_of_year, CAST(isodow(day0) >= 6 AS INTEGER) AS is_weekend FROM (
+    SELECT store_id, item_id, {rnd('max(sell_price) FILTER (WHERE k = 1)', 4)} AS sell_price, max(date) AS last_date, CAST(max(date) + 1 AS DATE) AS day0, {_LAGS}, {_ROLLED}
+    FROM (SELECT *, row_number() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) AS k FROM filled) GROUP BY 1, 2)"""
+
 ENTRIES = {
     "load_series": (
         lambda s, d: fc.load_series(i.mart(s, d), k=20).select("date", "store_id", "item_id", "category", "department", "sales", "sell_price"),
@@ -188,5 +200,28 @@ ENTRIES = {
     "additive_piecewise": (lambda s, d: piecewise.piecewise_fit_predict(*i.split(s, d)), None),
     "boosted_fit_predict": (_boosted, None),
     "recursive_forecast": (_recursive, None),
+    # What does not depend on the trained trees, exactly: keys, dates, actuals, the features of the first step.
+    "boosted_fit_predict_rows": (
+        lambda s, d: _boosted(s, d).select("date", "store_id", "item_id", "actual", "model_name", (F.col("predicted_demand") >= 0).alias("not_negative")),
+        query("SELECT date, store_id, item_id, sales AS actual, 'boosted' AS model_name, true AS not_negative FROM validation"),
+    ),
+    "recursive_forecast_rows": (
+        lambda s, d: _recursive(s, d).select("forecast_date", "item_id", "store_id", "model_used", (F.col("predicted_demand") >= 0).alias("not_negative")),
+        query(
+            """SELECT CAST(unnest(generate_series(max(date) + 1, max(date) + 30, INTERVAL 1 DAY)) AS DATE) AS forecast_date, item_id, store_id,
+            'boosted' AS model_used, true AS not_negative FROM filled GROUP BY item_id, store_id"""
+        ),
+    ),
+    "forecast_step_features": (
+        lambda s, d: i.rounded(boosted.step_features(boosted.last_known(i.filled(s, d)), 1).drop("sales_so_far"), 4),
+        query(_STEP),
+    ),
+    "piecewise_interval": (
+        lambda s, d: piecewise.piecewise_interval(i.filled(s, d)).select("forecast_date", "item_id", "store_id", "model_used", (F.col("lower_95") <= F.col("upper_95")).alias("ordered")),
+        query(
+            """SELECT CAST(unnest(generate_series(max(date) + 1, max(date) + 30, INTERVAL 1 DAY)) AS DATE) AS forecast_date, item_id, store_id,
+            'additive_piecewise' AS model_used, true AS ordered FROM filled GROUP BY item_id, store_id HAVING min(date) < max(date)"""
+        ),
+    ),
     "job_forecast": (_forecast_job, None),
 }

@@ -1,14 +1,18 @@
 """Global boosted-tree demand model and its multi-step forecast.
 
 Training is the distributed tree learner of Spark ML. The forecast keeps each series' recent
-sales in one array column; every step derives the features from that array, scores all series at
-once and appends the prediction. Lineage is cut every few steps with a reliable checkpoint.
+sales in one array; every step derives the features from that array, scores a batch of series at
+once on the trees as flat arrays, and appends the prediction.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +21,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import clip_non_negative, is_weekend, monday_zero
 from shelfline.operators.forecasting import BOOSTED, HORIZON_DAYS
 from shelfline.schemas import SERIES_KEY
-from shelfline.session import cut_lineage, shared_dir
+from shelfline.session import shared_dir
 
 # Model inputs and learner settings.
 FEATURES = [
@@ -43,7 +47,8 @@ SEED = 42
 # Five levels give up to 32 leaves per tree.
 DEPTH = 5
 HISTORY = 28
-STEPS_PER_CHECKPOINT = 5
+# Series scored together: bounds the arrays of one step.
+SERIES_AT_ONCE = 1024
 
 
 def available_features(df: DataFrame) -> list[str]:
@@ -137,22 +142,112 @@ def step_features(state: DataFrame, step: int) -> DataFrame:
     return with_means.withColumns({f"rolling_std_{n}": _population_std(n) for n in (7, 28)})
 
 
+@dataclass(frozen=True)
+class Forest:
+    """All trees of a model as flat arrays: a node asks whether a feature is at most its threshold and
+    goes left or right; a leaf points to itself. `roots` has one node per tree."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    roots: np.ndarray
+    weights: np.ndarray
+    depth: int
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        """Weighted sum of the trees for every row of x, all rows and trees at once."""
+        node = np.broadcast_to(self.roots, (len(x), len(self.roots))).copy()
+        rows = np.arange(len(x))[:, None]
+        for _ in range(self.depth):
+            node = np.where(x[rows, self.feature[node]] <= self.threshold[node], self.left[node], self.right[node])
+        return self.value[node] @ self.weights
+
+
+def flat_forest(model: GBTRegressionModel) -> Forest:
+    """Reads the trees of a fitted model from its description."""
+    feature, threshold, left, right, value = [], [], [], [], []
+    roots, open_, deepest = [], [], 0
+    for line in model.toDebugString.splitlines():
+        text = line.strip()
+        if text.startswith("Tree "):
+            open_ = []
+            roots.append(len(value))
+            continue
+        if found := _ASKS.match(text):  # the second branch of the innermost open node is next
+            if found["word"] == "Else":
+                while open_[-1][1]:
+                    open_.pop()
+                open_[-1] = (open_[-1][0], True)
+                continue
+            new, cells = len(value), (int(found["feature"]), float(found["threshold"]), 0.0)
+        elif text.startswith("Predict:"):
+            new, cells = len(value), (0, np.inf, float(text.removeprefix("Predict:")))
+        else:
+            continue
+        if open_:
+            parent, second = open_[-1]
+            (right if second else left)[parent] = new
+        feature.append(cells[0]), threshold.append(cells[1]), value.append(cells[2]), left.append(new), right.append(new)
+        if found:
+            open_.append((new, False))
+            deepest = max(deepest, len(open_))
+    whole = lambda cells: np.array(cells, dtype=np.int64)
+    return Forest(whole(feature), np.array(threshold), whole(left), whole(right), np.array(value), whole(roots), np.array(model.treeWeights), deepest)
+
+
+_ASKS = re.compile(r"(?P<word>If|Else) \(feature (?P<feature>\d+) (<=|>) (?P<threshold>[^)]+)\)")
+
+
+def _array_features(h: np.ndarray, size: np.ndarray, price: np.ndarray, day: np.ndarray) -> dict[str, np.ndarray]:
+    """`step_features` for many series: h holds their values right-aligned, the last `size` of them count."""
+    at = lambda k: np.where(size >= k, h[:, -k], np.nan)
+    out, lag = {}, np.zeros(len(h))
+    for k in (1, 7, 14, 28):
+        lag = np.where(np.isnan(at(k)), lag, at(k))
+        out[f"lag_{k}"] = lag
+    for n in (7, 28):
+        known = np.minimum(size, n)
+        inside = [np.where(known >= k, h[:, -k], 0.0) for k in range(n, 0, -1)]  # oldest first, added in that order
+        total = sum(inside, np.zeros(len(h)))
+        mean = np.nan_to_num(np.divide(total, known, out=np.zeros(len(h)), where=known > 0))
+        squares = sum(((x - mean) * (x - mean) for x in inside), np.zeros(len(h)))
+        out[f"rolling_mean_{n}"] = mean
+        out[f"rolling_std_{n}"] = np.nan_to_num(np.where(size >= n, np.sqrt(squares / n), 0.0))
+    dates = pd.DatetimeIndex(day.astype("datetime64[D]").astype("datetime64[ns]"))
+    out |= {"year": dates.year, "month": dates.month, "day": dates.day, "day_of_week": dates.weekday, "week_of_year": dates.isocalendar().week, "is_weekend": dates.weekday >= 5, "sell_price": price}
+    return {name: np.asarray(cells, dtype=float) for name, cells in out.items()}
+
+
 def recursive_forecast(model: GBTRegressionModel, history: DataFrame, horizon_days: int = HORIZON_DAYS) -> DataFrame:
-    """`horizon_days` steps beyond each series' own last date; each step sees earlier predictions."""
-    kept = [*SERIES_KEY, "sell_price", "last_date"]
-
-    def advance(state: DataFrame, step: int) -> DataFrame:
-        scored = model.transform(_assemble(step_features(state, step), model.input_features))
-        value = F.greatest(F.lit(0.0), F.col("prediction"))
-        grown = scored.select(*kept, F.concat("sales_so_far", F.array(value)).alias("sales_so_far"))
-        return cut_lineage(grown) if step % STEPS_PER_CHECKPOINT == 0 and step < horizon_days else grown
-
-    final = reduce(advance, range(1, horizon_days + 1), cut_lineage(last_known(history)))
-    predicted = F.slice("sales_so_far", -horizon_days, horizon_days)
-    return final.select(*SERIES_KEY, "last_date", F.posexplode(predicted).alias("_pos", "predicted_demand")).select(
-        F.date_add("last_date", F.col("_pos") + 1).alias("forecast_date"),
-        "item_id",
-        "store_id",
-        "predicted_demand",
-        F.lit(BOOSTED).alias("model_used"),
-    )
+    """`horizon_days` steps beyond each series' own last date; each step sees earlier predictions.
+
+    The trees travel as flat arrays and all steps of a batch of series run in one narrow stage on its
+    array of recent sales, so the only exchange is the one that brings the last days of a series together."""
+    shared = history.sparkSession.sparkContext.broadcast((flat_forest(model), list(model.input_features)))  # trees x nodes numbers
+
+    def ahead(batches):
+        forest, names = shared.value
+        for whole in batches:
+            for start in range(0, whole.num_rows, SERIES_AT_ONCE):
+                batch = whole.slice(start, SERIES_AT_ONCE)
+                recent = batch.column("sales_so_far").to_pylist()
+                size = np.array([len(values) for values in recent])
+                h = np.full((len(recent), HISTORY + horizon_days), np.nan)
+                for row, values in enumerate(recent):
+                    h[row, HISTORY - len(values) : HISTORY] = values
+                price = np.nan_to_num(batch.column("sell_price").to_numpy(zero_copy_only=False).astype(float))
+                last = batch.column("last_date").to_numpy(zero_copy_only=False).astype("datetime64[D]")
+                for step in range(horizon_days):
+                    seen = h[:, step : HISTORY + step]
+                    features = _array_features(seen, np.minimum(size + step, HISTORY), price, last + step + 1)
+                    h[:, HISTORY + step] = np.maximum(0.0, forest.predict(np.column_stack([features[n] for n in names])))
+                days = (last[:, None] + np.arange(1, horizon_days + 1)).ravel()
+                times = lambda name: batch.column(name).take(pa.array(np.repeat(np.arange(len(recent)), horizon_days)))
+                cells = [pa.array(days), times("item_id"), times("store_id"), pa.array(h[:, HISTORY:].ravel())]
+                yield pa.RecordBatch.from_arrays(cells, ["forecast_date", "item_id", "store_id", "predicted_demand"])
+
+    kinds = dict(history.dtypes)
+    shape = f"forecast_date date, item_id {kinds['item_id']}, store_id {kinds['store_id']}, predicted_demand double"
+    return last_known(history).mapInArrow(ahead, shape).withColumn("model_used", F.lit(BOOSTED))

@@ -144,6 +144,33 @@ def test_recursive_forecast(spark, tree_model):
     assert first["I"].predicted_demand == pytest.approx(max(0.0, scored))
 
 
+def test_flat_forest_takes_the_same_steps(spark, tree_model):
+    """Against one Spark scoring per step, for long, short and one-row series; one exchange, no checkpoint."""
+    model, series, _ = tree_model
+    history = series.unionByName(frames.one_series(spark, 9, item="K")).unionByName(frames.one_series(spark, 1, item="L"))
+    df = boosted.recursive_forecast(model, history, 6)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Scan ExistingRDD" not in plan.replace("Scan ExistingRDD[date", "")
+    got = {(r.item_id, r.forecast_date): r.predicted_demand for r in df.collect()}
+    state = boosted.last_known(history)
+    for step in range(1, 7):
+        scored = model.transform(boosted._assemble(boosted.step_features(state, step), model.input_features))
+        value = F.greatest(F.lit(0.0), F.col("prediction"))
+        rows = scored.select("store_id", "item_id", "sell_price", "last_date", F.concat("sales_so_far", F.array(value)).alias("sales_so_far")).collect()
+        for r in rows:
+            assert got[r.item_id, r.last_date + dt.timedelta(step)] == pytest.approx(r.sales_so_far[-1], abs=1e-9)
+        state = spark.createDataFrame(rows, "store_id string, item_id string, sell_price double, last_date date, sales_so_far array<double>")
+
+
+def test_forest_arrays_agree_with_the_model(spark, tree_model):
+    model, _, featured = tree_model
+    forest = boosted.flat_forest(model)
+    assert len(forest.roots) == 4 and forest.depth <= boosted.DEPTH
+    rows = model.transform(boosted._assemble(featured, model.input_features)).select("features", "prediction").collect()
+    x = np.array([r.features.toArray() for r in rows])
+    assert np.allclose(forest.predict(x), [r.prediction for r in rows], rtol=0, atol=1e-9)
+
+
 def test_step_features_of_a_short_series(spark):
     state = boosted.last_known(frames.one_series(spark, 10))
     row = boosted.step_features(state, 1).first()
@@ -219,3 +246,63 @@ def test_piecewise_trend_follows_a_bend(spark):
     assert mae(bent) < 3 < mae(straight)
     future = piecewise.piecewise_future(frames.fact(spark, rows), 7).orderBy("forecast_date").collect()
     assert len(future) == 7 and future[0].forecast_date == base + dt.timedelta(200)
+
+
+def plain_piecewise(days, y, ahead):
+    """The same model fitted on all rows at once."""
+    days, y, ahead = (np.array(v, dtype=float) for v in (days, y, ahead))
+    unit, start, span = max(np.abs(y).max(), 1e-12), days.min(), np.ptp(days)
+    n = min(25, max(int(len(y) * 0.8) - 1, 0))
+    bends = np.linspace(0.0, 0.8, n + 1)[1:]
+
+    def design(day):
+        t, angle = (day - start) / span, 2.0 * np.pi * np.outer(day, np.arange(1, 4)) / 7.0
+        return np.column_stack([np.ones_like(t), t, np.sin(angle), np.cos(angle), np.maximum(t[:, None] - bends[None, :], 0.0)])
+
+    x = design(days)
+    free = min(n, max(0, (len(y) - 1) // 2 - 8))
+    chosen = [*range(8), *(8 + np.unique(np.linspace(0, n - 1, free).round().astype(int)) if free else [])]
+    noise = max(float(np.mean((y / unit - x[:, chosen] @ np.linalg.lstsq(x[:, chosen], y / unit, rcond=None)[0]) ** 2)), 1e-12)
+    scale = np.array([np.inf] * 2 + [10.0] * 6 + [0.05] * n)
+    w = np.linalg.lstsq(x.T @ x + np.diag(noise / scale**2), x.T @ y / unit, rcond=None)[0]
+    return np.maximum(design(ahead) @ w * unit, 0.0)
+
+
+def noisy(spark, lengths, seed=5):
+    rng, rows = np.random.default_rng(seed), []
+    for item, n in lengths.items():
+        for k in sorted(rng.choice(n * 2, n, replace=False)):
+            y = int(50 + 0.3 * k - 0.5 * max(0, k - n) + 8 * (k % 7 == 3) + rng.normal() * 4)
+            rows.append((D(2021, 1, 1) + dt.timedelta(int(k)), item, "D", "C", "S", "ST", y, 5.0))
+    return rows
+
+
+def test_piecewise_from_sums_equals_fit_on_rows(spark):
+    """Short, middle and long series with gaps, and one with a single day, which is left out."""
+    rows = noisy(spark, {"A": 3, "B": 12, "C": 40, "E": 66, "F": 90, "G": 700}) + [(D(2021, 1, 1), "H", "D", "C", "S", "ST", 3, 5.0)]
+    got = {}
+    df = piecewise.piecewise_future(frames.fact(spark, rows), 20)
+    for r in df.collect():
+        got.setdefault(r.item_id, []).append((r.forecast_date, r.predicted_demand))
+    assert set(got) == {"A", "B", "C", "E", "F", "G"}
+    number = lambda d: (d - D(1970, 1, 1)).days
+    for item, found in got.items():
+        own = [r for r in rows if r[1] == item]
+        ahead, values = zip(*sorted(found))
+        want = plain_piecewise([number(r[0]) for r in own], [r[6] for r in own], [number(d) for d in ahead])
+        assert np.allclose(values, want, rtol=1e-6, atol=1e-6), item
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert "FlatMapGroups" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_simulated_bounds_widen_and_repeat(spark):
+    history = frames.fact(spark, noisy(spark, {"F": 90, "G": 700}))
+    one, two = (sorted(map(tuple, piecewise.piecewise_interval(history, 30).collect())) for _ in range(2))
+    assert one == two
+    other = sorted(map(tuple, piecewise.piecewise_interval(history.repartition(5, "date"), 30).collect()))
+    assert [r[:3] for r in one] == [r[:3] for r in other] and np.allclose([r[3:6] for r in one], [r[3:6] for r in other], atol=1e-6)
+    for item in ("F", "G"):
+        width = [r[5] - r[4] for r in one if r[1] == item]
+        assert np.mean(width[-5:]) > np.mean(width[:5]) and min(width) > 0
+    low, high = piecewise.simulate_bounds(100.0, 10.0, np.zeros(0), 0.04, 400, 1)
+    assert np.mean(low) == pytest.approx(-1.96 * 2, abs=0.1) and np.mean(high) == pytest.approx(1.96 * 2, abs=0.1)  # noise alone
