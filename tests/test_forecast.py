@@ -305,4 +305,5 @@ def test_simulated_bounds_widen_and_repeat(spark):
         width = [r[5] - r[4] for r in one if r[1] == item]
         assert np.mean(width[-5:]) > np.mean(width[:5]) and min(width) > 0
     low, high = piecewise.simulate_bounds(100.0, 10.0, np.zeros(0), 0.04, 400, 1)
-    assert np.mean(low) == pytest.approx(-1.96 * 2, abs=0.1) and np.mean(high) == pytest.approx(1.96 * 2, abs=0.1)  # noise alone
+    # Noise alone: the quantile of 1,000 draws has a standard error of 0.17 here.
+    assert np.mean(low) == pytest.approx(-1.96 * 2, abs=0.5) and np.mean(high) == pytest.approx(1.96 * 2, abs=0.5)
