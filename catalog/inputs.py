@@ -191,9 +191,13 @@ def split(spark, d):
 
 
 def forecast(spark, d):
-    """Additive 30-day forecast, to four decimals."""
-    rows = forecasting.additive_future(filled(spark, d))
-    return rows.withColumn("predicted_demand", round_half_up("predicted_demand", 4))
+    """Additive 30-day forecast, to four decimals; stored once, as a run keeps it."""
+
+    def build():
+        rows = forecasting.additive_future(filled(spark, d))
+        return rows.withColumn("predicted_demand", round_half_up("predicted_demand", 4))
+
+    return stored(spark, d, "forecast", build)
 
 
 def wide_digest(df: DataFrame) -> DataFrame:

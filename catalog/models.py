@@ -9,27 +9,26 @@ from catalog import inputs as i
 from catalog.sql import query
 from shelfline.functions import clip_non_negative, coerce_numeric, outside_domain
 from shelfline.operators import cleaning, forecasting, joins, keep, reshape, rollups
+from shelfline.operators.quality import union_all
+from shelfline.plans.layers import materialize_layers
 from shelfline.schemas import ID_COLUMNS, PRICE_KEY
 from shelfline.session import scratch_path
 from shelfline.sources import tables
 
 
 def _materialized_marts(spark, d):
-    """Each mart written by year, read back, and summarised per mart and year."""
-    daily = i.daily(spark, d)
-    frames = {"daily": daily, "weekly": rollups.weekly_sales(daily), "monthly": rollups.monthly_sales(daily)}
-    out = []
-    for name, df in frames.items():
-        path = scratch_path(spark, f"mart-{name}")
-        df.hint("rebalance", "year").write.partitionBy("year").parquet(path)
-        units = "sales" if name == "daily" else f"total_{name}_sales"
-        stored = spark.read.parquet(path)
-        out.append(
-            stored.groupBy(F.lit(name).alias("mart"), F.col("year").cast("int").alias("year")).agg(
-                F.count(F.lit(1)).alias("row_count"), F.sum(units).alias("units")
-            )
+    """The stored layers of a new dataset, summarised per mart and year through their views."""
+    path = scratch_path(spark, "layers")
+    dataset = f"shelf_{path.rsplit('-', 1)[1]}"
+    tables.create_dataset(spark, dataset, path)
+    layers = materialize_layers(spark, i.fact(spark, d), i.calendar(spark, d), dataset)
+    frames = {"daily": layers.int_daily_sales, "weekly": layers.int_weekly_sales, "monthly": layers.int_monthly_sales}
+    return union_all([
+        df.groupBy(F.lit(name).alias("mart"), F.col("year").cast("int").alias("year")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("sales" if name == "daily" else f"total_{name}_sales").alias("units")
         )
-    return out[0].unionByName(out[1]).unionByName(out[2])
+        for name, df in frames.items()
+    ])
 
 
 def _ffilled(spark, d):

@@ -302,12 +302,12 @@ ENTRIES = {
     "render_audit": (
         lambda s, d: audit.render_audit(_audits(s, d)),
         query(
-            """SELECT dataset, CAST(list_position(['shape', 'check', 'missing', 'stat'], kind) AS INTEGER) AS line_no, line FROM (SELECT dataset, kind,
-            CASE WHEN kind = 'check' THEN '  [' || CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END || '] ' || name || ': ' || detail
-            WHEN kind = 'missing' AND amount > 0 THEN '  nulls in ' || name || ': ' || format('{:,}', amount) || printf(' (%.2f%%)', mean_value)
-            WHEN kind = 'stat' AND min_value IS NOT NULL THEN '  ' || name || printf(': min %.2f, max %.2f, mean %.2f', min_value, max_value, mean_value)
-            WHEN kind = 'stat' AND detail IS NOT NULL THEN '  ' || name || ': ' || detail
-            WHEN kind = 'shape' THEN upper(dataset) || ': ' || format('{:,}', amount) || ' ' || name END AS line FROM r) WHERE line IS NOT NULL""",
+            """SELECT dataset, 1 AS line_no, '  [' || CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END || '] ' || name || ': ' || detail AS line FROM r WHERE kind = 'check'
+            UNION ALL SELECT dataset, 0, upper(dataset) || ': ' || string_agg(piece, '; ' ORDER BY list_position(['shape', 'missing', 'stat'], kind), name)
+            FROM (SELECT *, CASE WHEN kind = 'shape' THEN format('{:,}', amount) || ' ' || name
+            WHEN kind = 'missing' AND amount > 0 THEN 'nulls in ' || name || ': ' || format('{:,}', amount) || printf(' (%.2f%%)', mean_value)
+            WHEN kind = 'stat' AND min_value IS NOT NULL THEN name || printf(': min %.2f, max %.2f, mean %.2f', min_value, max_value, mean_value)
+            WHEN kind = 'stat' AND detail IS NOT NULL THEN name || ': ' || detail END AS piece FROM r) WHERE piece IS NOT NULL GROUP BY dataset""",
             r=_RAW_AUDIT,
         ),
     ),

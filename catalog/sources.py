@@ -10,7 +10,7 @@ from catalog.quality import JOB_AUDIT, rounded_prices
 from catalog.sql import query
 from shelfline.operators import audit
 from shelfline.plans import jobs
-from shelfline.schemas import FACT, ID_COLUMNS
+from shelfline.schemas import FACT, ID_COLUMNS, PRICES
 from shelfline.session import scratch_path
 from shelfline.sources import files, tables
 
@@ -38,6 +38,21 @@ def _scan_prices(spark, d):
     return files.scan_prices(spark, _csv(spark, i.prices(spark, d), "prices"))
 
 
+def _odd_prices(spark, d):
+    """A price file whose weeks are written with decimals, one week in seven with a word for a price."""
+    rows = i.prices(spark, d).select("store_id", "item_id", F.concat(F.col("wm_yr_wk").cast("string"), F.lit(".0")).alias("wm_yr_wk"),
+                                     F.when(F.col("wm_yr_wk") % 7 == 0, "none").otherwise(F.col("sell_price").cast("string")).alias("sell_price"))
+    return _csv(spark, rows, "odd-prices")
+
+
+def _scan_widened(spark, d):
+    return files.scan_widened(spark, _odd_prices(spark, d), PRICES)[0]
+
+
+def _scan_rejects(spark, d):
+    return files.scan_widened(spark, _odd_prices(spark, d), PRICES)[1]
+
+
 def _scan_wide(spark, d):
     return i.wide_digest(files.scan_sales_wide(spark, _csv(spark, i.wide(spark, d), "sales")))
 
@@ -159,6 +174,11 @@ ENTRIES = {
         query(f"SELECT {', '.join(ID_COLUMNS)}, count(*) AS cell_count, CAST(sum(sales) AS BIGINT) AS total, CAST(sum(sales * n) AS BIGINT) AS weighted_total FROM cells GROUP BY ALL"),
     ),
     "scan_prices": (_scan_prices, query("SELECT * FROM prices")),
+    "scan_widened": (_scan_widened, query("SELECT * FROM prices WHERE wm_yr_wk % 7 <> 0")),
+    "scan_rejects": (
+        _scan_rejects,
+        query("SELECT store_id, item_id, wm_yr_wk || '.0' AS wm_yr_wk, 'none' AS sell_price, 'sell_price' AS reason FROM prices WHERE wm_yr_wk % 7 = 0"),
+    ),
     "scan_table": (_scan_table, "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1"),
     "write_table": (_write_table, query("SELECT * FROM fact UNION ALL SELECT * FROM fact")),
     "verify_table": (_verify, query("SELECT true AS found, count(*) AS row_count, 8 AS column_count FROM fact")),

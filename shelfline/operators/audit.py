@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions import outside_domain, percent, round_half_up, status, to_number
+from shelfline.functions.observed import seen_by
 from shelfline.operators.cleaning import parse_date
 from shelfline.operators.reshape import day_cells
 from shelfline.schemas import ID_COLUMNS, PRICE_KEY, day_columns
@@ -195,8 +196,8 @@ class Observed:
     def figures(self) -> DataFrame:
         """One row. A map task that runs again after a lost executor is observed twice, so a row count that
         differs from the table's own (kept in its file footers) discards the observation."""
-        seen = self.observation.get
-        if seen["rows"] != self.df.count():
+        seen = seen_by(self.observation)
+        if seen is None or seen["rows"] != self.df.count():
             return figures(self.df, self.dataset)
         shape = figures(self.df, self.dataset).schema
         return self.df.sparkSession.createDataFrame([tuple(seen[f.name] for f in shape.fields)], shape)
@@ -272,15 +273,21 @@ def audit_summary(rows: DataFrame) -> DataFrame:
 
 
 def render_audit(rows: DataFrame) -> DataFrame:
-    """Report lines (dataset, line_no, line): heading, checks, columns with nulls, statistics."""
+    """Report lines (dataset, line_no, line): a heading per dataset with its shape, columns with nulls and
+    statistics, then its checks."""
     kind = F.col("kind")
-    text = (
-        F.when(kind == "check", F.format_string("  %s %s: %s", F.when(F.col("passed"), "[PASS]").otherwise("[FAIL]"), "name", "detail"))
-        .when((kind == "missing") & (F.col("amount") > 0), F.format_string("  nulls in %s: %,d (%.2f%%)", "name", "amount", "mean_value"))
-        .when((kind == "stat") & F.col("min_value").isNotNull(), F.format_string("  %s: min %.2f, max %.2f, mean %.2f", "name", "min_value", "max_value", "mean_value"))
-        .when((kind == "stat") & F.col("detail").isNotNull(), F.format_string("  %s: %s", "name", "detail"))
-        .when(kind == "shape", F.format_string("%s: %,d %s", F.upper("dataset"), "amount", "name"))
+    mark = F.when(F.col("passed"), "[PASS]").otherwise("[FAIL]")
+    checks = rows.where(kind == "check").select("dataset", F.lit(1).alias("line_no"), F.format_string("  %s %s: %s", mark, "name", "detail").alias("line"))
+    piece = (
+        F.when(kind == "shape", F.format_string("%,d %s", "amount", "name"))
+        .when((kind == "missing") & (F.col("amount") > 0), F.format_string("nulls in %s: %,d (%.2f%%)", "name", "amount", "mean_value"))
+        .when((kind == "stat") & F.col("min_value").isNotNull(), F.format_string("%s: min %.2f, max %.2f, mean %.2f", "name", "min_value", "max_value", "mean_value"))
+        .when((kind == "stat") & F.col("detail").isNotNull(), F.format_string("%s: %s", "name", "detail"))
     )
-    order = F.array_position(F.array(*map(F.lit, ("shape", "check", "missing", "stat"))), kind)
-    lines = rows.select("dataset", order.cast("int").alias("line_no"), text.alias("line"))
-    return lines.where("line IS NOT NULL").orderBy("dataset", "line_no", "line")
+    order = F.array_position(F.array(*map(F.lit, ("shape", "missing", "stat"))), kind)
+    pieces = rows.where(kind != "check").select("dataset", order.alias("order"), "name", piece.alias("piece")).where("piece IS NOT NULL")
+    # A few pieces per dataset: one for each of its shape figures, columns and statistics.
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", "name", "piece"))), lambda x: x["piece"]), "; ")
+    heads = pieces.groupBy("dataset").agg(joined.alias("pieces"))
+    heads = heads.select("dataset", F.lit(0).alias("line_no"), F.concat(F.upper("dataset"), F.lit(": "), F.col("pieces")).alias("line"))
+    return heads.unionByName(checks).orderBy("dataset", "line_no", "line")

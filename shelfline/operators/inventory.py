@@ -109,7 +109,7 @@ def inventory_recommendations(
 ) -> DataFrame:
     """One recommendation per forecast series. Every row carries the latest forecast date overall
     and the forecast's model name, both read as scalars."""
-    facts = forecast.agg(F.max("forecast_date").alias("day"), F.min("model_used").alias("model"))
+    facts = forecast.agg(F.struct(F.max("forecast_date").alias("day"), F.min("model_used").alias("model"))).scalar()
     points = reorder_point(
         forecast_summary(forecast), safety_stock(history, service_level, lead_time_days).select(*SERIES_KEY, "safety_stock"), lead_time_days
     )
@@ -117,14 +117,14 @@ def inventory_recommendations(
     return stocked.select(
         "item_id",
         "store_id",
-        facts.select("day").scalar().alias("forecast_date"),
+        facts["day"].alias("forecast_date"),
         F.bround("total_30d_forecast", 2).alias("predicted_demand"),
         "safety_stock",
         "reorder_point",
         "available_inventory",
         order_quantity(quantity_policy).alias("recommended_order_quantity"),
         risk_class(risk_policy).alias("stockout_risk"),
-        facts.select("model").scalar().alias("model_used"),
+        facts["model"].alias("model_used"),
     )
 
 

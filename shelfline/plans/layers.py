@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.operators import rollups
+from shelfline.schemas import column_list
 from shelfline.sources.tables import MART, write_table
 
 
@@ -30,21 +31,25 @@ def build_layers(fact: DataFrame, calendar: DataFrame) -> Layers:
 
 
 def materialize_layers(spark: SparkSession, fact: DataFrame, calendar: DataFrame, dataset: str) -> Layers:
-    """Views for staging and intermediate models, tables by year for the marts.
+    """The staged calendar and the marts as tables of the dataset (marts by year), and views of the same
+    dataset under the names of the intermediate models.
 
-    The daily model is stored first and the other marts read the stored copy, so the join behind
-    it runs once.
+    The daily model is stored first and the other marts read the stored copy, so the join behind it
+    runs once. An intermediate model is what its mart stores, so its view reads that table.
     """
     layers = build_layers(fact, calendar)
     order = ["store_id", "item_id"]
-    write_table(layers.int_daily_sales, f"{dataset}.fct_daily_sales", partition_by=["year"], sort_by=[*order, "sales_date"])
-    daily = spark.table(f"{dataset}.fct_daily_sales").select(*layers.int_daily_sales.columns)
-    stored = Layers(
-        layers.stg_calendar, daily, rollups.weekly_sales(daily), rollups.monthly_sales(daily), rollups.mart_sales_forecasting(daily)
-    )
-    for name in ("stg_calendar", "int_daily_sales", "int_weekly_sales", "int_monthly_sales"):
-        getattr(stored, name).createOrReplaceTempView(name)
-    write_table(stored.int_weekly_sales, f"{dataset}.fct_weekly_sales", partition_by=["year"], sort_by=order)
-    write_table(stored.int_monthly_sales, f"{dataset}.fct_monthly_sales", partition_by=["year"], sort_by=order)
-    write_table(stored.mart_sales_forecasting, f"{dataset}.{MART}", partition_by=["year"], sort_by=[*order, "date"])
-    return stored
+    write_table(layers.stg_calendar, f"{dataset}.stg_calendar", sort_by=["sales_date"])
+
+    def stored(period: str, model: DataFrame, sort_by: list[str]) -> DataFrame:
+        write_table(model, f"{dataset}.fct_{period}_sales", partition_by=["year"], sort_by=sort_by)
+        columns = column_list(model.columns)  # the partition column comes last in the table
+        spark.sql(f"CREATE OR REPLACE VIEW {dataset}.int_{period}_sales AS SELECT {columns} FROM {dataset}.fct_{period}_sales")
+        return spark.table(f"{dataset}.int_{period}_sales")
+
+    daily = stored("daily", layers.int_daily_sales, [*order, "sales_date"])
+    weekly = stored("weekly", rollups.weekly_sales(daily), order)
+    monthly = stored("monthly", rollups.monthly_sales(daily), order)
+    mart = rollups.mart_sales_forecasting(daily)
+    write_table(mart, f"{dataset}.{MART}", partition_by=["year"], sort_by=[*order, "date"])
+    return Layers(spark.table(f"{dataset}.stg_calendar"), daily, weekly, monthly, spark.table(f"{dataset}.{MART}").select(*mart.columns))

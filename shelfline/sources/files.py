@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.schemas import CALENDAR, DAY_PREFIX, PRICES, sales_wide
 
 CORRUPT = "_corrupt_record"
+REASON = "reason"
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, keep_bad_rows: bool) -> DataFrame:
@@ -21,8 +23,11 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, keep_b
     if missing := [f.name for f in schema.fields if f.name not in header]:
         raise ValueError(f"{path}: missing columns {missing}")
     known = {f.name: f.dataType for f in schema.fields}
-    present = [T.StructField(name, known.get(name, T.StringType())) for name in header]
     wanted = [f.name for f in schema.fields]
+    if not keep_bad_rows:
+        texts = spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in header])).option("header", True).csv(path)
+        return texts.selectExpr(*[f"{_cell(name, known[name])} AS `{name}`" for name in wanted])
+    present = [T.StructField(name, known.get(name, T.StringType())) for name in header]
     if keep_bad_rows:
         present.append(T.StructField(CORRUPT, T.StringType()))
         wanted.append(CORRUPT)
@@ -31,6 +36,35 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, keep_b
     return rows.selectExpr(*[f"`{name}`" for name in wanted])
 
 
+def _cell(name: str, kind: T.DataType) -> str:
+    """SQL that reads a text cell as its declared type; `2011.0` is a whole number, what does not fit is null."""
+    if isinstance(kind, T.IntegralType):
+        number = f"try_cast(`{name}` AS double)"
+        return f"coalesce(try_cast(`{name}` AS bigint), CASE WHEN {number} = floor({number}) THEN try_cast({number} AS bigint) END)"
+    return f"`{name}`" if isinstance(kind, T.StringType) else f"try_cast(`{name}` AS {kind.simpleString()})"
+
+
+def scan_widened(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> tuple[DataFrame, DataFrame]:
+    """The rows with the narrowest type that holds each column's numbers, and the rejected rows.
+
+    One pass over the texts decides per number column: whole numbers stay bigint, a fraction anywhere makes
+    the column double. A row with a cell that is no number at all goes to the rejects, whole and as text,
+    with the names of such cells in `reason`."""
+    names = [f.name for f in schema.fields]
+    texts = _read(spark, path, T.StructType([T.StructField(n, T.StringType()) for n in names]), fmt, False)
+    numbers = [f.name for f in schema.fields if isinstance(f.dataType, T.NumericType)]
+    whole = {f.name for f in schema.fields if isinstance(f.dataType, T.IntegralType)}
+    value = lambda n: F.col(n).try_cast("double")
+    broken = {n: F.col(n).isNotNull() & (value(n).isNull() | F.isnan(value(n))) for n in numbers}
+    fraction = {n: F.coalesce(value(n) != F.floor(value(n)), F.lit(False)) for n in numbers if n in whole}
+    found = texts.agg(F.count(F.lit(1)), *[F.count_if(test).alias(n) for n, test in fraction.items()]).first()
+    kinds = {n: T.DoubleType() if n not in fraction or found[n] else T.LongType() for n in numbers}
+    reason = F.array_join(F.array_compact(F.array(*[F.when(broken[n], F.lit(n)) for n in numbers])), ", ") if numbers else F.lit("")
+    judged = texts.withColumn(REASON, reason)
+    good = judged.where(F.col(REASON) == "").selectExpr(*[f"{_cell(n, kinds.get(n, T.StringType()))} AS `{n}`" for n in names])
+    return good, judged.where(F.col(REASON) != "")
+
+
 def scan_calendar(spark: SparkSession, path: str, fmt: str = "csv", keep_bad_rows: bool = False) -> DataFrame:
     return _read(spark, path, CALENDAR, fmt, keep_bad_rows)
 

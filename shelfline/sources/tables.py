@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from shelfline.functions.observed import seen_by
 from shelfline.schemas import FACT, FORECAST, METRICS, RECOMMENDATIONS
 from shelfline.schemas import MART as MART_SHAPE
 
@@ -45,6 +47,55 @@ def scan_table(spark: SparkSession, query: str) -> DataFrame:
     return spark.sql(text) if " " in text else spark.table(text)
 
 
+VERSION_MARK = "__v_"
+
+
+class UnverifiedTable(RuntimeError):
+    """A staged table does not hold the rows that were to be written."""
+
+
+def fingerprint(df: DataFrame) -> dict[str, Column]:
+    """Aggregates that tell two tables apart whatever the order of rows: their number and two digests."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    return {"rows": F.count(F.lit(1)), "mixed": F.bit_xor(row), "added": F.sum((row % F.lit(1 << 31)).cast("bigint"))}
+
+
+def _figures(df: DataFrame) -> dict:
+    return df.agg(*[c.alias(n) for n, c in fingerprint(df).items()]).first().asDict()
+
+
+def _save(df: DataFrame, name: str, mode: str, partition_by: list[str] | None, sort_by: list[str] | None, path: str | None = None) -> None:
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
+    writer = df.write.mode(mode).format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
+
+
+def _version_folder(spark: SparkSession, name: str, version: str) -> str:
+    """A folder of its own for every version of a table, beside the dataset's other tables."""
+    dataset, _, table = name.rpartition(".")
+    base = spark.catalog.getDatabase(dataset or spark.catalog.currentDatabase()).locationUri
+    return f"{base.rstrip('/')}/{table}{VERSION_MARK}{version}"
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    """Drops a table together with the version folder this module wrote it to."""
+    if not spark.catalog.tableExists(name):
+        return
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    spark.sql(f"DROP TABLE {name}")
+    location = details.get("Location", "")
+    if VERSION_MARK in location.rsplit("/", 1)[-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(location)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -54,17 +105,44 @@ def write_table(
 ) -> None:
     """Replace or append a table.
 
+    A replacement is staged beside the table, compared with the rows that were written (their number and
+    digests are observed on the way), and only then takes the table's name; a write that fails leaves the
+    old table. An input may therefore read the table it replaces.
+
     A partitioned table is rebalanced on its partition columns first: files get an even size and a
     year that holds most rows is split over many tasks. Rows are ordered inside files only.
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    if sort_by:
-        df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
-    writer = df.write.mode(mode).format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    if mode != "overwrite":
+        _save(df, name, mode, partition_by, sort_by)
+        return
+    spark, version, seen = df.sparkSession, uuid.uuid4().hex[:12], Observation()
+    staged = f"{name}__staged_{version}"
+    try:
+        watched = df.observe(seen, *[c.alias(n) for n, c in fingerprint(df).items()])
+        _save(watched, staged, "error", partition_by, sort_by, _version_folder(spark, name, version))
+        stored = _figures(spark.table(staged))
+        # A map task that ran again after a lost executor was observed twice: then the input is counted anew.
+        if stored != seen_by(seen) and stored != (wanted := _figures(df)):
+            raise UnverifiedTable(f"{name}: staged {stored}, to be written {wanted}")
+        publish(spark, staged, name)
+    finally:
+        _drop(spark, staged)
+
+
+def publish(spark: SparkSession, staged: str, name: str) -> None:
+    """Gives a staged table its name; the table that had it stays until then and comes back on failure."""
+    previous = f"{name}__previous_{uuid.uuid4().hex[:12]}"
+    replaced = spark.catalog.tableExists(name)
+    if replaced:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {previous}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except Exception:
+        if replaced:
+            spark.sql(f"ALTER TABLE {previous} RENAME TO {name}")
+        raise
+    if replaced:
+        _drop(spark, previous)
 
 
 def alias_view(spark: SparkSession, dataset: str, alias: str, name: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 import frames
-from shelfline.operators import joins
+from shelfline.operators import joins, rollups
 from shelfline.plans import jobs
 from shelfline.plans.layers import materialize_layers
 from shelfline.session import scratch_path
@@ -162,3 +162,46 @@ def test_layers_are_stored_by_year(spark, dataset):
     layers = materialize_layers(spark, frames.fact(spark), frames.calendar(spark), dataset)
     assert layers.int_weekly_sales.count() == spark.table(f"{dataset}.fct_weekly_sales").count()
     assert "year" in [c.name for c in spark.catalog.listColumns(f"{dataset}.fct_daily_sales") if c.isPartition]
+
+
+def test_whole_numbers_with_decimals_keep_their_value(spark):
+    header = "date,wm_yr_wk,weekday,wday,month,year,d,event_name_1,event_type_1,event_name_2,event_type_2,snap_CA,snap_TX,snap_WI"
+    path = text_file(spark, header, "2011-01-29,11101.0,Saturday,1,1.5,2011.0,d_1,,,,,0,x,1")
+    row = files.scan_calendar(spark, path).first()
+    assert (row.year, row.wm_yr_wk, row.wday, row.month, row.snap_TX, row.snap_WI) == (2011, 11101, 1, None, None, 1)
+
+
+def test_narrowest_types_and_rejects(spark):
+    path = text_file(spark, "item_id,store_id,wm_yr_wk,sell_price", "i,s,7.0,2.5", "i,s,8,", "j,s,x,3", "k,s,9,NaN")
+    rows, rejects = files.scan_widened(spark, path, frames.PRICES)
+    assert dict(rows.dtypes) == {"store_id": "string", "item_id": "string", "wm_yr_wk": "bigint", "sell_price": "double"}
+    assert {(r.item_id, r.wm_yr_wk, r.sell_price) for r in rows.collect()} == {("i", 7, 2.5), ("i", 8, None)}
+    assert {(r.item_id, r.wm_yr_wk, r.reason) for r in rejects.collect()} == {("j", "x", "wm_yr_wk"), ("k", "9", "sell_price")}
+    wider, none = files.scan_widened(spark, text_file(spark, "item_id,store_id,wm_yr_wk,sell_price", "i,s,7.5,1", "i,s,8,1"), frames.PRICES)
+    assert dict(wider.dtypes)["wm_yr_wk"] == "double" and none.isEmpty()
+
+
+def test_failed_replacement_leaves_the_old_table(spark, dataset, monkeypatch):
+    name = f"{dataset}.kept"
+    tables.write_table(spark.range(5), name)
+    with pytest.raises(Exception, match="broken"):
+        tables.write_table(spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id")), name)
+    assert spark.table(name).count() == 5
+    with monkeypatch.context() as patch:  # a staged table that lost rows is not published
+        save = tables._save
+        patch.setattr(tables, "_save", lambda df, *rest: save(df.limit(3), *rest))
+        with pytest.raises(tables.UnverifiedTable):
+            tables.write_table(spark.range(9), name)
+    assert spark.table(name).count() == 5
+    tables.write_table(spark.table(name).where("id < 4"), name)  # reads what it replaces
+    assert spark.table(name).count() == 4
+    assert {t.name for t in spark.catalog.listTables(dataset) if not t.isTemporary} == {"kept"}
+
+
+def test_views_of_layers_belong_to_their_dataset(spark, dataset):
+    other = f"{dataset}_v"
+    tables.create_dataset(spark, other, scratch_path(spark, other))
+    materialize_layers(spark, frames.fact(spark), frames.calendar(spark), dataset)
+    materialize_layers(spark, frames.fact(spark).limit(0), frames.calendar(spark), other)
+    assert spark.table(f"{dataset}.int_daily_sales").count() == 16 and spark.table(f"{other}.int_daily_sales").count() == 0
+    assert spark.table(f"{dataset}.int_weekly_sales").columns == rollups.weekly_sales(spark.table(f"{dataset}.int_daily_sales")).columns
