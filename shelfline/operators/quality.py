@@ -19,6 +19,7 @@ from shelfline.operators.profiles import WEEKDAY_LABEL, WEEKEND_LABEL
 from shelfline.operators.reshape import day_cells, wide_sales_total
 from shelfline.schemas import FACT_KEY
 
+# The declared rules of the models.
 HIERARCHY_RULES = [("item_id", "dept_id"), ("dept_id", "cat_id"), ("item_id", "cat_id"), ("store_id", "state_id")]
 
 NOT_NULL = {

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import round_half_up, stable_avg, stable_sum
 
+# Columns of the exported plan.
 PLAN_COLUMNS = [
     "item_id",
     "store_id",

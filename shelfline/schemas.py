@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column names and types of the inputs and of the stored tables.
 SERIES_KEY = ["store_id", "item_id"]
 PRICE_KEY = ["store_id", "item_id", "wm_yr_wk"]
 FACT_KEY = ["date", "item_id", "store_id"]
