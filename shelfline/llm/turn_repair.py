@@ -233,7 +233,8 @@ def repair(conversations: DataFrame) -> DataFrame:
 
     conv_id, turn, role and text as read (null for inserted turns), fault (blank, duplicate, truncated or
     empty), edit (K, R, D, I), new_role (null where deleted) and the edit's cost. Texts are moved once,
-    by conversation; repeats are found by digests that are counted before they move."""
+    by conversation, and once more where the list of repeats is too long to broadcast; repeats are found
+    by digests that are counted before they move."""
     c = conversations
     rows = c.select(c["conv_id"], c["turn"], *[F.coalesce(c[n].cast("string"), F.lit(" ")).alias(n) for n in ("role", "text")])
     kinds = dict(rows.dtypes)
