@@ -102,16 +102,17 @@ def _without(docs: DataFrame, lines: DataFrame, wide: DataFrame, takes: Callable
 
     Only keys and places of lines are shuffled before the one join that brings the places to remove
     back to their documents."""
-    names = {n: fresh_name(docs, f"_{n}") for n in ("text_key", "places")}
+    names = {n: fresh_name(docs, f"_{n}") for n in ("text_key", "places", "id", "key", "hits")}
     hits = lines.join(wide, "key", "left_semi")
-    removed = hits.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set(F.struct("place", "words")).alias("_hits"))
+    removed = hits.groupBy(F.col("doc_id").alias(names["id"]), F.col("text_key").alias(names["key"])).agg(F.collect_set(F.struct("place", "words")).alias(names["hits"]))
     rows = docs.withColumn(names["text_key"], F.xxhash64("text"))
-    joined = rows.join(removed, rows["doc_id"].eqNullSafe(removed["_id"]) & (rows[names["text_key"]] == removed["_key"]), "left")
+    joined = rows.join(removed, rows["doc_id"].eqNullSafe(removed[names["id"]]) & (rows[names["text_key"]] == removed[names["key"]]), "left")
     text_lines = F.split("text", "\n", -1)
     n_lines = F.size(F.filter(text_lines, lambda line: F.btrim(line, F.lit(BLANK)) != ""))
-    places = F.transform("_hits", lambda h: h["place"])
+    hits = F.col(names["hits"])
+    places = F.transform(hits, lambda h: h["place"])
     kept = F.array_join(F.filter(text_lines, lambda line, i: ~F.array_contains(F.col(names["places"]), i)), "\n")
-    joined = joined.withColumn(names["places"], F.when(F.col("_hits").isNotNull() & takes(F.col("_hits"), n_lines), places))
+    joined = joined.withColumn(names["places"], F.when(hits.isNotNull() & takes(hits, n_lines), places))
     text = F.when(F.col(names["places"]).isNotNull(), kept).otherwise(F.col("text"))
     others = [c for c in docs.columns if c != "text"]
     out = joined.select(*others, text.alias("text"), F.coalesce(F.when(F.col("text").isNotNull(), n_lines), F.lit(0)).alias(fresh_name(docs, "n_lines")), F.coalesce(F.size(names["places"]), F.lit(0)).alias(fresh_name(docs, "n_removed")))

@@ -250,3 +250,16 @@ def test_short_vectors_go_on_with_zeros():
 
     column = pa.array([[1.0], [], [2.0, 3.0]]).slice(0, 3)
     assert vectors.dense(column, 3).tolist() == [[1, 0, 0], [0, 0, 0], [2, 3, 0]]
+
+
+def test_removed_lines_with_clashing_columns(spark):
+    """Helper names of the join as columns of the documents."""
+    from shelfline.llm import site_lines
+
+    shared = "one line that very many different sites do share here"
+    rows = [(k, f"own text number {k} of this page with quite a few more words that no other page has\n{shared}", f"s{k}", k, "k", "h", "t", k) for k in range(12)] + [(99, None, "s", 1, "k", "h", "t", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _id int, _key string, _hits string, _text_key string, _places int")
+    for found in (site_lines.spread_lines(docs), site_lines.without_boilerplate(docs)):
+        got = {r["doc_id"]: r for r in found.collect()}
+        assert all(got[k]["text"] == f"own text number {k} of this page with quite a few more words that no other page has" and (got[k]["_id"], got[k]["_hits"]) == (k, "h") for k in range(12))
+        assert got[99]["text"] is None
