@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.components import components
 from shelfline.llm.shingles import shingle_set, similar
-from shelfline.llm.texts import fresh_name, map_texts, may_be_among, table
+from shelfline.llm.texts import fresh_name, groups, handing_back, map_texts, may_be_among, table
 from shelfline.session import cut_lineage
 
 ROWS = 4  # minima per band
@@ -109,9 +110,14 @@ def sketches(docs: DataFrame, plan: Plan) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, plan: Plan) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id and kept for every row of docs."""
-    seen = cut_lineage(sketches(docs, plan))
+def near_duplicates(docs: DataFrame, plan: Plan, among: DataFrame | None = None) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id and kept for every row of docs. With `among`
+    (doc_id, text_key), the same for those documents alone, as if the others were not there."""
+    if among is not None:
+        flag = fresh_name(docs, "_among")
+        docs = may_be_among(docs, F.col("doc_id").cast("bigint"), among.select("doc_id"), flag).where(flag)
+    seen = sketches(docs, plan)
+    seen = cut_lineage(seen if among is None else seen.join(among, ["doc_id", "text_key"], "left_semi"))
     usable = seen.where("size > 0 AND doc_id IS NOT NULL")
     # One row per class of equal sets: its smallest document stands for it.
     first = F.min(F.struct("doc_id", "text_key", "size", "bands", "signature"))
@@ -122,11 +128,11 @@ def near_duplicates(docs: DataFrame, plan: Plan) -> DataFrame:
     texts = _texts(docs, nodes, shared.select("node").distinct())
     stars = shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = cut_lineage(_star_links(_likely(stars, nodes, plan), texts, plan))
-    groups = components(links)
-    more = cut_lineage(_block_links(shared.where("rows > 2"), groups, nodes, texts, plan))
+    joint = components(links)
+    more = cut_lineage(_block_links(shared.where("rows > 2"), joint, nodes, texts, plan))
     if not more.isEmpty():
-        groups = components(links.unionByName(more))
-    classes = nodes.select("k1", "k2", "node").join(groups, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
+        joint = components(links.unionByName(more))
+    classes = nodes.select("k1", "k2", "node").join(joint, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
     joined = seen.select("doc_id", "text_key", "size", "k1", "k2").join(classes, ["k1", "k2"], "left")
     component = F.when((F.col("size") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     rows = joined.select("doc_id", "text_key", F.col("size").alias("n_shingles"), component.alias("component_id"))
@@ -160,7 +166,7 @@ def _star_links(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
 
     def run(batches):
         at, heads = None, []
-        for batch in batches:
+        for batch in chain.from_iterable(map(groups, batches)):
             found: list[tuple[int, int]] = []
             for a, part, role, node, text in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "role", "node", "text"))):
                 if at != (a, part):
@@ -172,16 +178,16 @@ def _star_links(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
                     found.append((a, node))
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return rows.select("a", "part", "role", "node", "text").mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.select("a", "part", "role", "node", "text").mapInArrow(handing_back(run), "a bigint, b bigint").distinct()
 
 
-def _block_links(shared: DataFrame, groups: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
+def _block_links(shared: DataFrame, joint: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
     """Links that the stars left open, in buckets whose other members form several components.
 
     Base rows lie in one block each. Rows outside the first document's component, the strays, also
     visit every block of their bucket as queries, so what is repeated grows with the strays only."""
-    rows = shared.where("node <> first").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    heads = groups.select(F.col("node").alias("first"), F.col("component").alias("main"))
+    rows = shared.where("node <> first").join(joint, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    heads = joint.select(F.col("node").alias("first"), F.col("component").alias("main"))
     rows = rows.join(heads, "first", "left").withColumn("main", F.coalesce("main", "first"))
     rows = rows.join(nodes.select("node", "size", "signature", "bands"), "node")
     bucket = rows.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("blocks"))
@@ -195,7 +201,7 @@ def _block_links(shared: DataFrame, groups: DataFrame, nodes: DataFrame, texts:
 
     def run(batches):
         at, block = None, None
-        for batch in batches:
+        for batch in chain.from_iterable(map(groups, batches)):
             found: list[tuple[int, int]] = []
             for row in batch.to_pylist():
                 if at != (row["band"], row["key"], row["block"]):
@@ -206,7 +212,7 @@ def _block_links(shared: DataFrame, groups: DataFrame, nodes: DataFrame, texts:
                     found += block.links(row)
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return dealt.select(*columns, "block", "role", "text").mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.select(*columns, "block", "role", "text").mapInArrow(handing_back(run), "a bigint, b bigint").distinct()
 
 
 class _Block:

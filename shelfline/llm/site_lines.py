@@ -67,11 +67,11 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, long_sites: int |
 
 def in_different_documents(lines: DataFrame, found: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     """Those keys of found whose lines lie in at least `least` groups of near copies, a document without
-    copies being a group of its own."""
-    groups = near_duplicates(docs, Plan()).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "component_id").distinct()
-    hits = lines.join(found, "key", "left_semi").select("key", "doc_id", "text_key").distinct()
-    placed = hits.join(groups, hits["doc_id"].eqNullSafe(groups["_id"]) & (hits["text_key"] == groups["_key"]))
+    copies being a group of its own. Only documents that hold such a line are compared."""
+    hits = cut_lineage(lines.join(found, "key", "left_semi").select("key", F.col("doc_id").cast("bigint").alias("doc_id"), "text_key").distinct())
+    groups = near_duplicates(docs, Plan(), hits.select("doc_id", "text_key").distinct()).select("doc_id", "text_key", "component_id").distinct()
     # A document without an id is in no group; its text stands for it.
+    placed = hits.join(groups, ["doc_id", "text_key"], "left")
     group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("text_key")))
     different = placed.select("key", group.alias("group")).distinct().groupBy("key").count().where(F.col("count") >= least)
     return found.join(different, "key", "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -59,6 +60,22 @@ def groups(batch: pa.RecordBatch, text: str = "text", limit: int = GROUP_BYTES)
         yield batch.slice(start)
 
 
+def handing_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run` for a task, after which its Python worker gives free memory back to the system: workers
+    outlive their tasks, and later stages of the executor need what they would go on holding."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text") -> DataFrame:
     """Runs `work` on groups of whole rows; it returns columns by name. No rows move between tasks."""
     names = [part.split()[0] for part in schema.split(", ")]  # ", " only between columns
@@ -69,4 +86,4 @@ def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str
                 found = work(part)
                 yield pa.RecordBatch.from_arrays([found[n] if isinstance(found[n], pa.Array) else pa.array(found[n]) for n in names], names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(handing_back(run), schema)

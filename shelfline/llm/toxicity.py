@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from shelfline.llm.hyper_lang import remainder
-from shelfline.llm.texts import fresh_name, map_texts, table
+from shelfline.llm.texts import fresh_name, groups, handing_back, map_texts, table
 from shelfline.session import cut_lineage
 
 # Lexicon, trees and calibration are fitted on at most this many labelled rows, the first ones in
@@ -139,10 +139,11 @@ def with_features(docs: DataFrame, known: dict[str, float], column: str) -> Data
 
     def run(batches):
         for batch in batches:
-            found = [features(t or "", shared.value) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.float64()))], [*batch.schema.names, column])
+            for part in groups(batch):
+                found = [features(t or "", shared.value) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.list_(pa.float64()))], [*part.schema.names, column])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(handing_back(run), schema)
 
 
 class Model:
