@@ -8,8 +8,10 @@ alignment against the text. The filter loses nothing within the edit budget.
 
 Texts are compared without regard to case, and all white space is alike. Segments are SEGMENT
 characters long, one every SEGMENT / 2, so a passage of one and a half segments of an item is found
-even where the rest is missing; a shorter item is one segment. Items under SHORTEST characters prove
-nothing and are not searched.
+even where the rest is missing. An item of up to WHOLE characters is a segment as a whole too, with a
+budget that a replaced word of usual length stays within; in longer items one replaced word always
+leaves a segment untouched. Items under EXACT characters are found only unchanged and between word
+boundaries. Those of a single word, or of fewer than Q characters, prove nothing and are not searched.
 
 Cases: null text has no leaks; null or empty items are not searched; an empty benchmark leaves all
 documents clean; equal items are each reported; repeated documents are searched alike.
@@ -17,6 +19,8 @@ documents clean; equal items are each reported; repeated documents are searched
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +29,10 @@ from pyspark.sql import functions as F
 from shelfline.llm.texts import fresh_name, map_texts, table
 
 Q = 8  # a power of two
-SEGMENT = 80
-SHORTEST = 24
-EDIT_SHARE = 0.075
+SEGMENT = 40
+WHOLE = 2 * SEGMENT + Q
+EXACT = 24
+SHARED = 4  # q-grams that an occurrence with all its edits still shares
 # Segments sent to the tasks at once (about 100 bytes each there); more are searched in further passes.
 BLOCK_SEGMENTS = 50_000
 BITMAP_BITS = 22
@@ -57,21 +62,24 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
 
 
 def budget(length: int) -> int:
-    """Edits allowed: a share of the length, as long as the lemma still asks for a shared q-gram."""
-    return max(0, min(int(length * EDIT_SHARE), length // Q - 1))
+    """Edits allowed: as many as leave SHARED q-grams by the lemma; none for items under EXACT characters."""
+    return 0 if length < EXACT else (length + 1 - SHARED) // Q - 1
 
 
 def segments(items: list[tuple[int, str]]) -> list[tuple[int, int, np.ndarray]]:
     """(item, start, code points) of every segment."""
     out = []
     for item, text in items:
-        codes = folded(text)
-        if len(codes) < SHORTEST:
+        codes = folded(text.strip())
+        if len(codes) < Q or (len(codes) < EXACT and ord(" ") not in codes):
             continue
-        starts = list(range(0, max(len(codes) - SEGMENT, 0) + 1, SEGMENT // 2))
-        if starts[-1] + SEGMENT < len(codes):
-            starts.append(len(codes) - SEGMENT)
-        out += [(item, s, codes[s : s + SEGMENT]) for s in starts]
+        if len(codes) <= WHOLE:
+            out.append((item, 0, codes))
+        if len(codes) > SEGMENT:
+            starts = list(range(0, len(codes) - SEGMENT + 1, SEGMENT // 2))
+            if starts[-1] + SEGMENT < len(codes):
+                starts.append(len(codes) - SEGMENT)
+            out += [(item, s, codes[s : s + SEGMENT]) for s in starts]
     return out
 
 
@@ -121,20 +129,29 @@ class Index:
             return []
         steps = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
         hit = np.repeat(low, count) + steps
-        diagonal = np.repeat(at, count) - self.place[hit] + SEGMENT  # above zero
+        diagonal = np.repeat(at, count) - self.place[hit] + WHOLE  # above zero
         band = diagonal // self.band
         # A run of e + 1 diagonals lies in one band or crosses into the next: each hit counts in both.
-        wide = np.int64(len(codes) // self.band + SEGMENT + 4)
+        wide = np.int64(len(codes) // self.band + WHOLE + 4)
         keys = self.owner[hit] * wide + band
         keys, counts = np.unique(np.concatenate([keys, keys - 1]), return_counts=True)
         owner = keys // wide
         keep = counts >= self.bound[owner]
         if not keep.any():
             return []
-        owner, start = owner[keep], (keys[keep] % wide) * self.band - SEGMENT
+        owner, start = owner[keep], (keys[keep] % wide) * self.band - WHOLE
+        short = self.lengths[owner] < EXACT
+        found = self._whole_words(codes, np.unique(owner[short])) if short.any() else set()
+        owner, start = owner[~short], start[~short]
         edits, ends = self._align(codes, owner, start)
         good = edits <= self.edits[owner]
-        return sorted({(int(self.items[o]), int(e), int(d)) for o, e, d in zip(owner[good], ends[good], edits[good])})
+        return sorted(found | {(int(self.items[o]), int(e), int(d)) for o, e, d in zip(owner[good], ends[good], edits[good])})
+
+    def _whole_words(self, codes: np.ndarray, owner: np.ndarray) -> set[tuple[int, int, int]]:
+        """Occurrences of short items that no letter or digit touches."""
+        plain = lambda c: c.tobytes().decode("utf-32-le", "surrogatepass")
+        text = plain(codes)
+        return {(int(self.items[o]), m.end(), 0) for o in owner for m in re.finditer(rf"(?<!\w){re.escape(plain(self.codes[o]))}(?!\w)", text)}
 
     def _align(self, codes: np.ndarray, owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Fewest edits of each segment inside its band, and where that occurrence ends. The table is

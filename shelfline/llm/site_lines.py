@@ -4,14 +4,14 @@ aggregation; lines near the threshold get an exact distinct count before anythin
 A line is compared without outer white space; blank lines never count. Its sites are the different
 values of `source` (null is a site of its own). A line of at least `min_sites` sites is boilerplate.
 
-`without_boilerplate`, the pipeline's stage, removes it from every document that also holds a line of
-its own; a document of nothing but boilerplate is a true copy and stays whole for the near-duplicate
-stage. Lines of a few words recur by chance and need MIN_SITES sites; a line of LONG_WORDS words or
-more needs LONG_SITES sites, in at least as many documents that are not near copies of each other.
-Else every copy of a page would lose its text here, before the near-duplicate stage keeps one of them.
+It is removed from every document that also holds a line of its own; a document of nothing but
+boilerplate is a true copy and stays whole for the near-duplicate stage. Lines of a few words recur by
+chance and need MIN_SITES sites; a line of LONG_WORDS words or more needs LONG_SITES sites.
 
-`spread_lines`, the registered query, follows its SQL counterpart: MIN_SITES sites for every line, and
-documents with more boilerplate than other words stay whole.
+`without_boilerplate`, the pipeline's stage, asks more of long lines: they must lie in LONG_SITES
+documents that are not near copies of each other. Else every copy of a page would lose its text
+there, before the near-duplicate stage keeps one of them. `spread_lines`, the registered query, has no
+near-duplicate stage behind it and does without.
 
 Cases: null text stays null with no lines; an empty table gives an empty result; rows with the same
 doc_id and text are treated alike.
@@ -19,8 +19,6 @@ doc_id and text are treated alike.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,42 +75,37 @@ def in_different_documents(lines: DataFrame, found: DataFrame, docs: DataFrame,
     return found.join(different, "key", "left_semi")
 
 
-def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """docs with n_lines, n_removed and text without boilerplate, as OP3_SQL has it: documents with more
-    boilerplate than other words stay whole."""
+def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, long_sites: int = LONG_SITES) -> DataFrame:
+    """docs with n_lines, n_removed and text without boilerplate, as OP3_SQL has it."""
     lines = lines_of(docs)
-    all_words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
-    hit_words = lambda hits: F.aggregate(hits, F.lit(0), lambda a, h: a + h["words"])
-    return _without(docs, lines, boilerplate(lines, min_sites), lambda hits, n_lines: 2 * hit_words(hits) <= all_words)
+    return _without(docs, lines, boilerplate(lines, min_sites, long_sites))
 
 
 def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, long_sites: int = LONG_SITES) -> DataFrame:
-    """The same columns, by the pipeline's rule: long lines of a few sites go too, and only documents
-    without any line of their own stay whole."""
+    """The same, where long lines must also lie in documents that are not near copies."""
     lines = lines_of(docs)
     wide = cut_lineage(boilerplate(lines, min_sites, long_sites))
     long = in_different_documents(lines, wide.where(F.col("words") >= LONG_WORDS), docs, long_sites)
     wide = wide.where(F.col("words") < LONG_WORDS).unionByName(long)
-    return _without(docs, lines, wide, lambda hits, n_lines: F.size(hits) < n_lines)
+    return _without(docs, lines, wide)
 
 
-def _without(docs: DataFrame, lines: DataFrame, wide: DataFrame, takes: Callable[[Column, Column], Column]) -> DataFrame:
-    """docs with n_lines, n_removed and text without the lines in wide, where `takes` holds of a document's
-    hits and number of lines; all other columns as they were.
+def _without(docs: DataFrame, lines: DataFrame, wide: DataFrame) -> DataFrame:
+    """docs with n_lines, n_removed and text without the lines in wide, where a document holds others too;
+    all other columns as they were.
 
     Only keys and places of lines are shuffled before the one join that brings the places to remove
     back to their documents."""
     names = {n: fresh_name(docs, f"_{n}") for n in ("text_key", "places", "id", "key", "hits")}
     hits = lines.join(wide, "key", "left_semi")
-    removed = hits.groupBy(F.col("doc_id").alias(names["id"]), F.col("text_key").alias(names["key"])).agg(F.collect_set(F.struct("place", "words")).alias(names["hits"]))
+    removed = hits.groupBy(F.col("doc_id").alias(names["id"]), F.col("text_key").alias(names["key"])).agg(F.collect_set("place").alias(names["hits"]))
     rows = docs.withColumn(names["text_key"], F.xxhash64("text"))
     joined = rows.join(removed, rows["doc_id"].eqNullSafe(removed[names["id"]]) & (rows[names["text_key"]] == removed[names["key"]]), "left")
     text_lines = F.split("text", "\n", -1)
     n_lines = F.size(F.filter(text_lines, lambda line: F.btrim(line, F.lit(BLANK)) != ""))
     hits = F.col(names["hits"])
-    places = F.transform(hits, lambda h: h["place"])
     kept = F.array_join(F.filter(text_lines, lambda line, i: ~F.array_contains(F.col(names["places"]), i)), "\n")
-    joined = joined.withColumn(names["places"], F.when(hits.isNotNull() & takes(hits, n_lines), places))
+    joined = joined.withColumn(names["places"], F.when(F.size(hits) < n_lines, hits))
     text = F.when(F.col(names["places"]).isNotNull(), kept).otherwise(F.col("text"))
     others = [c for c in docs.columns if c != "text"]
     out = joined.select(*others, text.alias("text"), F.coalesce(F.when(F.col("text").isNotNull(), n_lines), F.lit(0)).alias(fresh_name(docs, "n_lines")), F.coalesce(F.size(names["places"]), F.lit(0)).alias(fresh_name(docs, "n_removed")))
@@ -136,16 +129,15 @@ whole AS (
 ), filled AS (
   SELECT *, len(regexp_split_to_array(bare, '[\\x20\\x09-\\x0D]+')) AS words FROM lines WHERE bare <> ''
 ), wide AS (
-  SELECT bare FROM filled GROUP BY bare HAVING count(DISTINCT site) >= {MIN_SITES}
+  SELECT bare FROM filled GROUP BY bare HAVING count(DISTINCT site) >= CASE WHEN any_value(words) >= {LONG_WORDS} THEN {LONG_SITES} ELSE {MIN_SITES} END
 ), marked AS (
-  SELECT doc_id, count(*) AS n_lines, sum(words) AS words, sum(CASE WHEN bare IN (SELECT bare FROM wide) THEN words ELSE 0 END) AS hit_words,
-    sum(CASE WHEN bare IN (SELECT bare FROM wide) THEN 1 ELSE 0 END) AS hits FROM filled GROUP BY doc_id
+  SELECT doc_id, count(*) AS n_lines, sum(CASE WHEN bare IN (SELECT bare FROM wide) THEN 1 ELSE 0 END) AS hits FROM filled GROUP BY doc_id
 ), kept AS (
   SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.place) AS text FROM lines l LEFT JOIN marked m USING (doc_id)
-  WHERE NOT (coalesce(m.hits, 0) > 0 AND 2 * m.hit_words <= m.words AND l.bare IN (SELECT bare FROM wide)) GROUP BY l.doc_id
+  WHERE NOT (coalesce(m.hits, 0) > 0 AND m.hits < m.n_lines AND l.bare IN (SELECT bare FROM wide)) GROUP BY l.doc_id
 )
 SELECT w.doc_id, CAST(coalesce(m.n_lines, 0) AS BIGINT) AS n_lines,
-  CAST(CASE WHEN m.hits > 0 AND 2 * m.hit_words <= m.words THEN m.hits ELSE 0 END AS BIGINT) AS n_removed,
+  CAST(CASE WHEN m.hits < m.n_lines THEN m.hits ELSE 0 END AS BIGINT) AS n_removed,
   sha256(coalesce(k.text, '')) AS text_sha256
 FROM whole w LEFT JOIN marked m USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """

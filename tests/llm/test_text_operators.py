@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from shelfline.llm import bpe, fixity, hyper_lang, leaks, minhash, queries, repeats, secrets, site_lines, suffixes, texts, toxicity, weak_rules
+from shelfline.session import cut_lineage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, kept int, line string, size int"
@@ -185,6 +186,38 @@ def test_edited_leak_and_none(spark):
     assert leaks.without_leaks(docs, bench.limit(0)).count() == 3
 
 
+@pytest.mark.parametrize("low, high, replaced", [(8, 23, 0.0), (24, 59, 0.0), (60, 87, 0.8), (88, 250, 1.0)])
+def test_leak_recall(low, high, replaced):
+    """Random items in random texts: unchanged, as a part of 13 words, with one replaced word, or not at all."""
+    dice = random.Random(low)
+    words = ["".join(dice.choices("abcdefghijklmnop", k=dice.randint(3, 9))) for _ in range(3000)]
+    items = {}
+    while len(items) < 60:
+        item = " ".join(dice.choices(words, k=dice.randint(2, 40)))
+        if low <= len(item) <= high:
+            items[len(items)] = item
+    index = leaks.Index(leaks.segments(list(items.items())))
+
+    def caught(item=""):
+        host = dice.choices(words, k=150)
+        host.insert(dice.randrange(150), item)
+        text = " ".join(host)
+        return {i for i, _, _ in index.search(text)} - {i for i, t in items.items() if t != item and f" {t} " in f" {text} "}
+
+    changed = 0
+    for i, item in items.items():
+        parts = item.split()
+        assert caught(item) == {i} and not caught()
+        assert not caught(f"x{item}x") or len(item) >= leaks.EXACT
+        if len(parts) >= 26:
+            at = dice.randrange(len(parts) - 12)
+            part = " ".join(parts[at : at + 13])
+            assert len(part) < 1.5 * leaks.SEGMENT or caught(part) == {i}
+        parts[dice.randrange(len(parts))] = dice.choice(words)
+        changed += i in caught(" ".join(parts))
+    assert changed >= replaced * len(items)
+
+
 def test_language(spark):
     rows = [(i, text * 20, lang) for i, (text, lang) in enumerate([("the house is over there with them ", "en"), ("der hund und die katze sind nicht hier ", "de")] * 4)]
     docs = spark.createDataFrame([*rows, (90, None, None), (91, "123 !?", "en")], "doc_id bigint, text string, lang string")
@@ -253,6 +286,16 @@ def test_pages_of_mostly_boilerplate_are_cleaned(spark):
     assert {i: r["text"] for i, r in out.items()} == {i: f"{own[i]}\n" if i < 12 else t for i, t, _ in rows}
 
 
+@pytest.mark.parametrize("n", [3, 4, 6, 8, 10, 12])
+def test_query_removes_passages_of_a_few_sites(spark, n):
+    """The registered rule, on a passage of most of each page; two sites and a wholly shared page are left."""
+    shared, pair = (" ".join(f"{name}{i}" for i in range(60)) for name in ("shared", "pair"))
+    rows = [(i, f"own line {i}\n{shared}", f"s{i}") for i in range(n)]
+    rows += [(50, shared, "s0"), (51, f"one\n{pair}", "s1"), (52, f"other\n{pair}", "s2"), (53, None, None)]
+    out = found(site_lines.spread_lines(spark.createDataFrame(rows, "doc_id bigint, text string, source string")))
+    assert {i: (r["text"], r["n_removed"]) for i, r in out.items()} == {i: (f"own line {i}", 1) if i < n else (t, 0) for i, t, _ in rows}
+
+
 def test_long_passages_of_a_few_different_pages(spark):
     """Long lines go from three sites on, short ones from ten, and pages copied to several sites keep theirs."""
     import corpus_pipeline
@@ -338,7 +381,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     columns = docs.columns
     for (name, stage), want in zip(corpus_pipeline.STAGES, [*steps, None]):
-        docs = stage(spark, docs, str(tmp_path)).localCheckpoint()
+        docs = cut_lineage(stage(spark, docs, str(tmp_path)))
         got = found(docs)
         assert docs.count() == len(got)
         if want is not None:
