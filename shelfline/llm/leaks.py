@@ -32,7 +32,7 @@ Q = 8  # a power of two
 SEGMENT = 40
 WHOLE = 2 * SEGMENT + Q
 EXACT = 24
-SHARED = 4  # q-grams that an occurrence with all its edits still shares
+SHARED = 9  # q-grams that an occurrence with all its edits still shares
 # Segments sent to the tasks at once (about 100 bytes each there); more are searched in further passes.
 BLOCK_SEGMENTS = 50_000
 BITMAP_BITS = 22
