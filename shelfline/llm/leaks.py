@@ -38,6 +38,7 @@ BLOCK_SEGMENTS = 50_000
 BITMAP_BITS = 22
 _FACTORS = {1: np.uint32(0x9E3779B1), 2: np.uint32(0x85EBCA77), 4: np.uint32(0xC2B2AE3D)}
 _MIX = np.uint32(0x27D4EB2F)
+OUTSIDE = np.uint32(0xFFFFFFFF)  # no code point
 
 
 def folded(text: str) -> np.ndarray:
@@ -98,7 +99,8 @@ class Index:
         place = np.concatenate([np.arange(len(h)) for h in hashes])
         flat = np.concatenate(hashes)
         order = np.argsort(flat, kind="stable")
-        self.hashes, self.owner, self.place = flat[order], owner[order], place[order]
+        self.owner, self.place = owner[order], place[order]
+        self.hashes, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
         self.bits = np.zeros(1 << BITMAP_BITS, bool)
         self.bits[self.hashes >> np.uint32(32 - BITMAP_BITS)] = True
 
@@ -110,23 +112,27 @@ class Index:
             return np.zeros(len(at), bool)
         first = np.flatnonzero(at[least - 1 :] - at[: len(at) - least + 1] < span)
         steps = np.zeros(len(at) + 1, np.int64)
-        np.add.at(steps, first, 1)
-        np.add.at(steps, first + least, -1)
+        steps[first] += 1  # places are distinct
+        steps[first + least] -= 1
         return np.cumsum(steps[:-1]) > 0
 
     def search(self, text: str) -> list[tuple[int, int, int]]:
         """(item, end in the text, edits), each verified; one per band that holds an occurrence."""
         codes = folded(text)
         grams = gram_hashes(codes)
-        at = np.flatnonzero(self.bits[grams >> np.uint32(32 - BITMAP_BITS)])
+        at = np.flatnonzero(self.bits.take(grams >> np.uint32(32 - BITMAP_BITS)))
         at = at[self._dense(at)]
         if not len(at):
             return []
-        low = np.searchsorted(self.hashes, grams[at], "left")
-        count = np.searchsorted(self.hashes, grams[at], "right") - low
-        total = int(count.sum())
-        if not total:
+        spot = np.minimum(np.searchsorted(self.hashes, grams[at]), len(self.hashes) - 1)
+        real = self.hashes[spot] == grams[at]
+        at, spot = at[real], spot[real]
+        near = self._dense(at)
+        at, spot = at[near], spot[near]
+        if not len(at):
             return []
+        low, count = self.first[spot], self.count[spot]
+        total = int(count.sum())
         steps = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
         hit = np.repeat(low, count) + steps
         diagonal = np.repeat(at, count) - self.place[hit] + WHOLE  # above zero
@@ -155,25 +161,33 @@ class Index:
 
     def _align(self, codes: np.ndarray, owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Fewest edits of each segment inside its band, and where that occurrence ends. The table is
-        kept by diagonal: width of the band plus the edit budget on both sides."""
+        kept by diagonal: width of the band plus the edit budget on both sides. Longer segments come
+        first, so the rows that still have characters are always the first ones."""
         slack = self.band
         width = 2 * self.band + 2 * slack
         edits, ends = np.zeros(len(owner), np.int64), np.zeros(len(owner), np.int64)
-        columns = np.arange(width)
-        for length in np.unique(self.lengths[owner]):
-            for part in np.array_split(np.flatnonzero(self.lengths[owner] == length), max(1, np.count_nonzero(self.lengths[owner] == length) // 20_000)):
-                segment = np.array([self.codes[o] for o in owner[part]])
-                first = start[part] - slack
-                cost = np.zeros((len(part), width), np.int32)
-                for i in range(length):
-                    place = first[:, None] + i + columns
-                    inside = (place >= 0) & (place < len(codes))
-                    same = inside & (codes[np.clip(place, 0, len(codes) - 1)] == segment[:, i : i + 1])
-                    step = cost + np.where(same, 0, 1)
-                    step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
-                    cost = np.minimum.accumulate(step - columns, axis=1) + columns
-                best = np.argmin(cost, axis=1)
-                edits[part], ends[part] = cost[np.arange(len(part)), best], np.clip(first + best + length, 0, len(codes))
+        columns = np.arange(width, dtype=np.int32)
+        order = np.argsort(-self.lengths[owner], kind="stable")
+        for part in np.array_split(order, max(1, len(order) // 20_000)):
+            lengths, first = self.lengths[owner[part]], start[part] - slack
+            longest = int(lengths.max(initial=0))
+            segment = np.full((len(part), longest), OUTSIDE, np.uint32)
+            for row, o in enumerate(owner[part]):
+                segment[row, : len(self.codes[o])] = self.codes[o]
+            place = first[:, None] + np.arange(longest + width)
+            inside = (place >= 0) & (place < len(codes))
+            window = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], OUTSIDE)
+            cost = np.zeros((len(part), width), np.int32)
+            active = np.searchsorted(-lengths, -np.arange(longest), "left")
+            for i, n in enumerate(active.tolist()):
+                now = cost[:n]
+                step = now + (window[:n, i : i + width] != segment[:n, i : i + 1])
+                np.minimum(step[:, :-1], now[:, 1:] + 1, out=step[:, :-1])
+                step -= columns
+                np.minimum.accumulate(step, axis=1, out=step)
+                np.add(step, columns, out=now)
+            best = np.argmin(cost, axis=1)
+            edits[part], ends[part] = cost[np.arange(len(part)), best], np.clip(first + best + lengths, 0, len(codes))
         return edits, ends
 
 
