@@ -58,11 +58,34 @@ def test_secrets(spark, sf_dir, docs):
     for doc, row in found(queries.QUERIES["op1_trigram_secrets"](spark, sf_dir)).items():
         spans = sorted((m.start(), k, f"{kind}:{m.start()}:{m.end()}") for k, (kind, p, g, n) in enumerate(kinds) for m in re.finditer(p, docs[doc], re.A | re.I * (k == 0)) if len(m[g]) >= n)
         assert row["base_sha256"] == hashlib.sha256(",".join(s[2] for s in spans).encode()).hexdigest()
+        assert [row[f"n_{kind}"] for kind, *_ in kinds] == [sum(s[1] == k for s in spans) for k in range(3)]
+        more = [(m.start(), 3 + k, f"{r.kind}:{m.start()}:{m.end()}") for k, r in enumerate(secrets.MORE) for m in re.finditer(r.pattern, docs[doc], re.A)]
+        assert row["spans"] == ",".join(s[2] for s in sorted(spans + more))
+
+
+def test_every_added_rule_is_found(spark):
+    samples = {
+        "private_key": "-----BEGIN RSA PRIVATE KEY-----",
+        "web_token": "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl",
+        "hosted_code": "ghp_" + "Zq" * 18,
+        "chat": "xoxb-12345-abcdef",
+        "maps": "AIza" + "Bc_-5" * 7,
+        "payment": "sk_live_" + "Xy" * 8,
+    }
+    assert set(samples) == {r.kind for r in secrets.MORE}
+    rows = [(i, f"see {sample} there") for i, sample in enumerate(samples.values())] + [(90, "nothing to see there"), (91, None)]
+    seen = found(secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    for i, (kind, sample) in enumerate(samples.items()):
+        assert (kind, 4, 4 + len(sample)) in [tuple(s) for s in seen[i]["spans"]]
+    assert seen[90]["spans"] == seen[91]["spans"] == []
 
 
 def test_trigram_queries():
     assert secrets.trigram_query("[0-9a-f]+") is True
-    assert secrets.trigram_query("(?:foobar|bar.*bazz)x?") == ("or", (("and", ("bar", "foo", "oba", "oob")), ("and", (("and", ("bar",)), ("and", ("azz", "baz")))))) or secrets.trigrams(secrets.trigram_query("(?:foobar|bar.*bazz)x?"))
+    query = secrets.trigram_query("(?:foobar|bar.*bazz)x?")
+    texts_ = ["xfoobar", "BAR and bazz", "foobaz", "bar", "bazz", "foo oba oob"]
+    assert secrets.trigrams(query) == {"foo", "oob", "oba", "bar", "baz", "azz"}
+    assert secrets.rows_of(query, secrets.postings_of(texts_, sorted(secrets.trigrams(query))), 0b111111) == 0b000011
 
 
 def test_weak_rules_counts(spark, sf_dir, docs):
@@ -72,6 +95,7 @@ def test_weak_rules_counts(spark, sf_dir, docs):
             places[tuple(words[i : i + 8])].append(i)
         covered = {j for v in places.values() if len(v) > 1 for i in v for j in range(i, i + 8)}
         lines = [x for x in docs[doc].split("\n") if WORD.search(x)]
+        assert r["n_symbols"] == sum(c in "#*$%&|<>" for c in docs[doc])
         assert (r["n_words"], r["word_chars"], r["n_dup_lines"], r["n_repeat_words"]) == (len(words), sum(map(len, words)), len(lines) - len(set(lines)), len(covered))
         assert r["base_failed"] == (len(words) < 20 or 100 * len(covered) > 30 * len(words))
         assert not (r["base_failed"] and r["kept"])
@@ -227,13 +251,22 @@ def test_language(spark):
     assert {r["lang_pred"] for r in hyper_lang.identify(docs, {}).collect()} == {"und"}
 
 
-def test_toxicity_held_out(spark):
+def test_language_held_out(spark):
     sf = "/root/testdata/sf0.01"
+    pred = found(hyper_lang.op6_hyper_lang(spark, sf))
+    rows = spark.read.parquet(f"{sf}/documents.parquet").where("lang IS NOT NULL").select("doc_id", "lang").collect()
+    held = [pred[r["doc_id"]]["lang_pred"] == r["lang"] for r in rows if pred[r["doc_id"]]["held_out"]]
+    assert len(held) > 200 and sum(held) >= 0.95 * len(held)
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
     scores = found(toxicity.op5_toxicity(spark, sf))
     marks = [(r["toxic"], scores[r["doc_id"]]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()]
     held = [(t, s["predicted"]) for t, s in marks if s["held_out"]]
-    assert len(scores) == 1000 and all(0 <= s["score"] <= 1 for s in scores.values())
-    assert sum(t == p for t, p in held) >= 0.9 * len(held)
+    assert all(0 <= s["score"] <= 1 for s in scores.values())
+    caught, toxic, flagged = sum(t == p == 1 for t, p in held), sum(t == 1 for t, _ in held), sum(p for _, p in held)
+    assert toxic > 50 and caught >= 0.85 * toxic and caught >= 0.95 * flagged
 
 
 def test_audit_statuses(spark):
