@@ -27,7 +27,7 @@ PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+")]
 HELD_CHARS = 3  # longest contraction: what a piece's end may still depend on
 LONG_PIECE = 4096  # characters of an unfinished piece after which it is streamed
-CACHE_PIECES = 400_000  # encodings remembered per worker; the memory bound, not a limit on the text
+CACHE_PIECES = 400_000  # encodings remembered by a task; the memory bound, not a limit on the text
 CHUNK_CHARS = 1 << 16
 
 
@@ -229,9 +229,8 @@ class Decoder:
 
 
 @lru_cache(maxsize=2)
-def _loaded(source: str) -> tuple[Merges, _Pieces]:
-    merges = Merges(source)
-    return merges, _Pieces(merges)
+def _loaded(source: str) -> Merges:
+    return Merges(source)
 
 
 def encode_decode(docs: DataFrame, source: str, ids: bool = False) -> DataFrame:
@@ -242,12 +241,19 @@ def encode_decode(docs: DataFrame, source: str, ids: bool = False) -> DataFrame:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(source)
-    numbers = {}
+    numbers: dict[str, bytes] = {}
+    pieces: list[_Pieces] = []  # of one task: a worker that goes on to other stages keeps only the merges
+
+    def forget() -> None:
+        numbers.clear()
+        pieces.clear()
 
     def work(batch: pa.RecordBatch) -> dict:
-        merges, known = _loaded(shared.value)
-        if not numbers:
+        merges = _loaded(shared.value)
+        if not pieces:
             numbers.update({str(i): b for i, b in merges.bytes_of.items()})
+            pieces.append(_Pieces(merges))
+        known = pieces[0]
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
         for text in batch.column("text").to_pylist():
             count, digest, plain, kept = 0, hashlib.sha256(), hashlib.sha256(), []
@@ -270,7 +276,7 @@ def encode_decode(docs: DataFrame, source: str, ids: bool = False) -> DataFrame:
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return map_texts(rows, work, schema)
+    return map_texts(rows, work, schema, after=forget)
 
 
 def _chunks(merges: Merges, known: _Pieces, text: str):

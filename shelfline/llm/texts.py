@@ -76,14 +76,18 @@ def handing_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     return task
 
 
-def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text") -> DataFrame:
-    """Runs `work` on groups of whole rows; it returns columns by name. No rows move between tasks."""
+def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text", after: Callable[[], None] = lambda: None) -> DataFrame:
+    """Runs `work` on groups of whole rows; it returns columns by name. No rows move between tasks.
+    `after` drops what `work` has gathered, when the task ends and before memory is handed back."""
     names = [part.split()[0] for part in schema.split(", ")]  # ", " only between columns
 
     def run(batches):
-        for batch in batches:
-            for part in groups(batch, text):
-                found = work(part)
-                yield pa.RecordBatch.from_arrays([found[n] if isinstance(found[n], pa.Array) else pa.array(found[n]) for n in names], names)
+        try:
+            for batch in batches:
+                for part in groups(batch, text):
+                    found = work(part)
+                    yield pa.RecordBatch.from_arrays([found[n] if isinstance(found[n], pa.Array) else pa.array(found[n]) for n in names], names)
+        finally:
+            after()
 
     return df.mapInArrow(handing_back(run), schema)
