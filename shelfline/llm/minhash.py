@@ -184,20 +184,26 @@ def _star_links(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
 def _block_links(shared: DataFrame, joint: DataFrame, nodes: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
     """Links that the stars left open, in buckets whose other members form several components.
 
-    Base rows lie in one block each. Rows outside the first document's component, the strays, also
-    visit every block of their bucket as queries, so what is repeated grows with the strays only."""
-    rows = shared.where("node <> first").join(joint, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    Those buckets are found first, from ids and components alone; most inputs have none or few, and only
+    their rows go on. Base rows lie in one block each. Rows outside the first document's component, the
+    strays, also visit every block of their bucket as queries, so what is repeated grows with the strays only."""
+    others = shared.where("node <> first").select("band", "key", "node", "first")
+    component = F.coalesce("component", "node")
+    told = others.join(joint, "node", "left").groupBy("band", "key").agg(F.min(component).alias("low"), F.max(component).alias("high"))
+    unsettled = cut_lineage(told.where("low <> high").select("band", "key"))
+    if unsettled.isEmpty():
+        return joint.select(F.col("node").alias("a"), F.col("component").alias("b")).limit(0)
+    rows = others.join(unsettled, ["band", "key"]).join(joint, "node", "left").withColumn("component", component)
     heads = joint.select(F.col("node").alias("first"), F.col("component").alias("main"))
-    rows = rows.join(heads, "first", "left").withColumn("main", F.coalesce("main", "first"))
-    rows = rows.join(nodes.select("node", "size", "signature", "bands"), "node")
-    bucket = rows.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    rows = rows.join(bucket.where("low <> high").select("band", "key", "blocks"), ["band", "key"])
-    rows = rows.withColumn("stray", F.col("component") != F.col("main"))
-    own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    rows = rows.join(heads, "first", "left").withColumn("stray", F.col("component") != F.coalesce("main", "first"))
+    rows = cut_lineage(rows.join(nodes.select("node", "size", "signature", "bands"), "node").drop("first", "main"))
+    bucket = rows.groupBy("band", "key").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    place = lambda block, role: F.struct(block.alias("block"), F.lit(role).alias("role"))
+    visits = F.when(F.col("stray"), F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: place(b, 1)))
+    own = F.array(place(F.pmod(F.xxhash64("node"), "blocks").cast("int"), 0))
     columns = ["band", "key", "node", "component", "size", "signature", "bands", "stray"]
-    bases = rows.select(*columns, own.alias("block"), F.lit(0).alias("role"))
-    queries = rows.where("stray").select(*columns, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"))
-    dealt = bases.unionByName(queries).join(texts, "node").repartition("band", "key", "block").sortWithinPartitions("band", "key", "block", "role", "node")
+    dealt = rows.join(bucket, ["band", "key"]).select(*columns, F.inline(F.when(F.col("stray"), F.concat(own, visits)).otherwise(own)))
+    dealt = dealt.join(texts, "node").repartition("band", "key", "block").sortWithinPartitions("band", "key", "block", "role", "node")
 
     def run(batches):
         at, block = None, None

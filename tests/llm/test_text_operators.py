@@ -429,3 +429,9 @@ def test_other_text_of_a_dropped_doc_id_stays(spark):
     copied, other = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
     docs = spark.createDataFrame([(1, copied), (5, copied), (5, other)], "doc_id bigint, text string")
     assert sorted(map(tuple, minhash.one_of_each(docs).collect())) == [(1, copied), (5, other)]
+
+
+def test_settled_buckets_of_near_copies_ask_for_no_texts(spark):
+    joint = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "node bigint, component bigint")
+    shared = spark.createDataFrame([(0, 7, n, 1, 3) for n in (1, 2, 3)], "band int, key bigint, node bigint, first bigint, rows bigint")
+    assert minhash._block_links(shared, joint, None, None, minhash.Plan(3, 85)).collect() == []
