@@ -2,7 +2,7 @@
 
 import frames
 from pyspark.sql import functions as F
-from shelfline.operators import audit, quality as q
+from shelfline.operators import audit, cube, quality as q
 
 
 def rows_of(df):
@@ -69,3 +69,11 @@ def test_report_sections_and_offenders(spark):
     assert empty["row_count"] == empty["date_range"] == empty["overall_status"] == "FAIL"
     lines = [r.line for r in q.render_report(q.validation_report(frames.fact(spark))).collect()]
     assert lines[0] == "1. SIZE" and any("top_items" in line for line in lines)
+
+
+def test_only_sums_are_dealt_to_the_levels_of_the_report(spark, monkeypatch):
+    monkeypatch.setattr(cube, "cut_lineage", lambda df: df)
+    plan = cube.sales_cube(frames.fact(spark))._jdf.queryExecution().optimizedPlan().toString()
+    expanded = [line for line in plan.splitlines() if "Expand [" in line]
+    assert len(expanded) == 1 and expanded[0].count("], [") <= 3  # whole rows are repeated three times at most
+    assert "min(dept_id" not in plan[plan.index("Expand ["):]  # names are compared among sums
