@@ -2,7 +2,7 @@
 
 import frames
 from pyspark.sql import functions as F
-from shelfline.operators import audit, cube, quality as q
+from shelfline.operators import audit, cube, quality as q, rollups
 
 
 def rows_of(df):
@@ -77,3 +77,11 @@ def test_only_sums_are_dealt_to_the_levels_of_the_report(spark, monkeypatch):
     expanded = [line for line in plan.splitlines() if "Expand [" in line]
     assert len(expanded) == 1 and expanded[0].count("], [") <= 3  # whole rows are repeated three times at most
     assert "min(dept_id" not in plan[plan.index("Expand ["):]  # names are compared among sums
+
+
+def test_rollups_shuffle_rows_before_they_hold_groups(spark):
+    daily = rollups.daily_sales(frames.fact(spark), rollups.stg_calendar(frames.calendar(spark)))
+    for model, keys in ((rollups.weekly_sales(daily), "wm_yr_wk"), (rollups.monthly_sales(daily), "year")):
+        plan = model._jdf.queryExecution().executedPlan().toString().splitlines()
+        partial = next(n for n, line in enumerate(plan) if "HashAggregate(keys=[" + keys in line and "partial_bit_or" in line)
+        assert "Exchange hashpartitioning" in plan[partial + 1]  # no task holds the groups of what it happened to read
