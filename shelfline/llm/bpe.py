@@ -27,7 +27,7 @@ PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+")]
 HELD_CHARS = 3  # longest contraction: what a piece's end may still depend on
 LONG_PIECE = 4096  # characters of an unfinished piece after which it is streamed
-CACHE_PIECES = 400_000  # encodings remembered by a task; the memory bound, not a limit on the text
+CACHE_PIECES = 120_000  # encodings remembered by a task; the memory bound, not a limit on the text
 CHUNK_CHARS = 1 << 16
 
 
@@ -131,19 +131,25 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Piece to its ids as comma-joined text; filled on first use, emptied when full."""
+    """Piece to its ids as comma-joined text, filled on first use. When half of CACHE_PIECES are held they
+    become the earlier half, in place of the last one; a piece found there comes back, so frequent ones stay."""
 
     def __init__(self, merges: Merges):
         super().__init__()
+        self.earlier: dict[str, str] = {}
         self.merges, self.names = merges, {b: str(i) for b, i in merges.ids.items()}
 
     def __missing__(self, piece: str) -> str:
-        if len(self) >= CACHE_PIECES:
+        found = self.earlier.get(piece)
+        if found is None:
+            data = piece.encode()
+            found = ",".join([self.names[t] for t in _stream(self.merges, data)])
+            if len(data) > 64:
+                return found
+        if len(self) >= CACHE_PIECES // 2:
+            self.earlier = dict(self)
             self.clear()
-        data = piece.encode()
-        found = ",".join([self.names[t] for t in _stream(self.merges, data)])
-        if len(data) <= 64:
-            self[piece] = found
+        self[piece] = found
         return found
 
 

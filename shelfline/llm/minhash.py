@@ -127,9 +127,9 @@ def near_duplicates(docs: DataFrame, plan: Plan, among: DataFrame | None = None)
     shared = cut_lineage(members.join(buckets, ["band", "key"]))
     texts = _texts(docs, nodes, shared.select("node").distinct())
     stars = shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = cut_lineage(_star_links(_likely(stars, nodes, plan), texts, plan))
+    links = cut_lineage(_star_links(_likely(stars, nodes, plan), texts, plan), ids=True)
     joint = components(links)
-    more = cut_lineage(_block_links(shared.where("rows > 2"), joint, nodes, texts, plan))
+    more = cut_lineage(_block_links(shared.where("rows > 2"), joint, nodes, texts, plan), ids=True)
     if not more.isEmpty():
         joint = components(links.unionByName(more))
     classes = nodes.select("k1", "k2", "node").join(joint, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
@@ -149,7 +149,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
 
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the nodes that share a bucket: the only texts that are moved."""
-    chosen = cut_lineage(nodes.select("node", "text_key").join(wanted, "node"))
+    chosen = cut_lineage(nodes.select("node", "text_key").join(wanted, "node"), ids=True)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     rows = may_be_among(rows, F.col("node"), chosen.select("node"), "flag").where("flag").drop("flag")
@@ -190,7 +190,7 @@ def _block_links(shared: DataFrame, joint: DataFrame, nodes: DataFrame, texts: D
     others = shared.where("node <> first").select("band", "key", "node", "first")
     component = F.coalesce("component", "node")
     told = others.join(joint, "node", "left").groupBy("band", "key").agg(F.min(component).alias("low"), F.max(component).alias("high"))
-    unsettled = cut_lineage(told.where("low <> high").select("band", "key"))
+    unsettled = cut_lineage(told.where("low <> high").select("band", "key"), ids=True)
     if unsettled.isEmpty():
         return joint.select(F.col("node").alias("a"), F.col("component").alias("b")).limit(0)
     rows = others.join(unsettled, ["band", "key"]).join(joint, "node", "left").withColumn("component", component)
@@ -276,7 +276,7 @@ def one_of_each(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     and text, so another text under the same doc_id stays; repeated rows that are kept all stay."""
     gone, gone_text, key, flag = (fresh_name(docs, c) for c in ("_dropped", "_dropped_text", "_key", "_flag"))
     found = near_duplicates(docs, plan or Plan()).where("NOT kept")
-    found = cut_lineage(found.select(F.col("doc_id").alias(gone), F.col("text_key").alias(gone_text)))
+    found = cut_lineage(found.select(F.col("doc_id").alias(gone), F.col("text_key").alias(gone_text)), ids=True)
     rows = may_be_among(docs.withColumn(key, F.col("doc_id").cast("bigint")), F.col(key), found.select(gone), flag)
     # Only texts of documents that may have to go are moved.
     same = (F.col(key) == F.col(gone)) & (F.xxhash64(F.col("text").cast("string")) == F.col(gone_text))

@@ -66,7 +66,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, long_sites: int |
 def in_different_documents(lines: DataFrame, found: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     """Those keys of found whose lines lie in at least `least` groups of near copies, a document without
     copies being a group of its own. Only documents that hold such a line are compared."""
-    hits = cut_lineage(lines.join(found, "key", "left_semi").select("key", F.col("doc_id").cast("bigint").alias("doc_id"), "text_key").distinct())
+    hits = cut_lineage(lines.join(found, "key", "left_semi").select("key", F.col("doc_id").cast("bigint").alias("doc_id"), "text_key").distinct(), ids=True)
     groups = near_duplicates(docs, Plan(), hits.select("doc_id", "text_key").distinct()).select("doc_id", "text_key", "component_id").distinct()
     # A document without an id is in no group; its text stands for it.
     placed = hits.join(groups, ["doc_id", "text_key"], "left")
@@ -84,7 +84,7 @@ def spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, long_sites: int =
 def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, long_sites: int = LONG_SITES) -> DataFrame:
     """The same, where long lines must also lie in documents that are not near copies."""
     lines = lines_of(docs)
-    wide = cut_lineage(boilerplate(lines, min_sites, long_sites))
+    wide = cut_lineage(boilerplate(lines, min_sites, long_sites), ids=True)
     long = in_different_documents(lines, wide.where(F.col("words") >= LONG_WORDS), docs, long_sites)
     wide = wide.where(F.col("words") < LONG_WORDS).unionByName(long)
     return _without(docs, lines, wide)

@@ -17,10 +17,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
@@ -104,8 +100,8 @@ def lexicon(training: DataFrame, size: int = LEXICON_WORDS, least: int = LEXICON
     side = lambda t: F.sum(F.when(F.col("toxic") == t, F.col("n")).otherwise(0))
     words = rows.groupBy("word").agg(side(1).alias("bad"), side(0).alias("good")).where((F.col("bad") >= least) & (F.length("word") > 2))
     totals = training.agg(F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good")).first()
-    first = {r["word"]: r for r in _best(words, totals, CANDIDATES).collect()}
-    shared = training.sparkSession.sparkContext.broadcast(frozenset(first))
+    first = cut_lineage(_best(words, totals, CANDIDATES).select("word", "bad", "good"))  # few rows; read twice
+    shared = training.sparkSession.sparkContext.broadcast(frozenset(r["word"] for r in first.collect()))
 
     def contexts(batch: pa.RecordBatch) -> dict:
         found = set()
@@ -115,9 +111,8 @@ def lexicon(training: DataFrame, size: int = LEXICON_WORDS, least: int = LEXICON
         return {"word": pa.array([w for w, _ in found], pa.string()), "around": pa.array([c for _, c in found], pa.string())}
 
     around = map_texts(training.where("toxic = 1").select("text"), contexts, "word string, around string")
-    spread = {r["word"]: r["n"] for r in around.groupBy("word").agg(F.count_distinct("around").alias("n")).collect()}
-    rows = [(w, min(r["bad"], spread.get(w, 0)), r["good"]) for w, r in first.items()]
-    words = training.sparkSession.createDataFrame(rows, "word string, bad bigint, good bigint").where(F.col("bad") >= least)
+    spread = around.groupBy("word").agg(F.count_distinct("around").alias("n"))
+    words = first.join(spread, "word", "left").withColumn("bad", F.least("bad", F.coalesce("n", F.lit(0)))).where(F.col("bad") >= least).drop("n")
     return {r["word"]: float(r["odds"]) for r in _best(words, totals, size).collect()}
 
 
@@ -155,6 +150,8 @@ class Model:
     def score(self, docs: DataFrame, column: str = "score") -> DataFrame:
         if self.trees is None:
             return docs.withColumn(column, F.lit(float(self.share)))
+        from pyspark.ml.functions import array_to_vector, vector_to_array  # see fit
+
         array, vector, raw, odds, chance = (fresh_name(docs, f"_{c}") for c in ("features", "vector", "raw", "odds", "chance"))
         rows = with_features(docs, self.known, array).withColumn(vector, array_to_vector(F.col(array)))
         trees = self.trees.copy().setFeaturesCol(vector).setRawPredictionCol(raw).setProbabilityCol("").setPredictionCol("")
@@ -176,6 +173,12 @@ def calibrated(calibration: tuple[list[float], list[float]], odds: str):
 
 def fit(training: DataFrame) -> Model:
     """training: doc_id, text, toxic. See the module for its parts."""
+    # Only the driver needs these. Python workers import this module too and would hold them as long as they live.
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.regression import IsotonicRegression
+
     rows = training.where("toxic IN (0, 1)").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     rows = cut_lineage(rows).coalesce(FIT_PARTS)  # stored from all tasks; only FIT_ROWS rows are left
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}

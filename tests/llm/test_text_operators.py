@@ -4,13 +4,17 @@ import collections
 import hashlib
 import random
 import re
+import subprocess
+import sys
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from shelfline.llm import bpe, fixity, hyper_lang, leaks, minhash, queries, repeats, secrets, site_lines, suffixes, texts, toxicity, weak_rules
-from shelfline.session import cut_lineage
+import corpus_pipeline
+from shelfline.llm import bpe, components as component_rounds, fixity, hyper_lang, leaks, minhash, queries, repeats, secrets, site_lines, suffixes, texts, toxicity, weak_rules
+from shelfline.session import FILES_PER_CORE, cut_lineage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, kept int, line string, size int"
@@ -435,3 +439,63 @@ def test_settled_buckets_of_near_copies_ask_for_no_texts(spark):
     joint = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "node bigint, component bigint")
     shared = spark.createDataFrame([(0, 7, n, 1, 3) for n in (1, 2, 3)], "band int, key bigint, node bigint, first bigint, rows bigint")
     assert minhash._block_links(shared, joint, None, None, minhash.Plan(3, 85)).collect() == []
+
+
+def test_workers_import_no_models():
+    """Python workers import the module with the features; the driver's model classes took 27 MB of each."""
+    code = "import sys, shelfline.llm.toxicity; print(sorted({'pyspark.ml', 'pandas'} & set(sys.modules)))"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.strip() == "[]"
+
+
+def test_lexicon_starts_no_python_rows(spark, monkeypatch):
+    """Rows made on the driver go through Python workers of another kind, which stay beside the others."""
+    training = toxicity.labelled(*(texts.table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels")))
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: pytest.fail("rows from the driver"))
+    words = toxicity.lexicon(training)
+    assert 0 < len(words) <= toxicity.LEXICON_WORDS and min(words.values()) > 2
+
+
+def test_remembered_pieces_are_few_and_frequent_ones_stay(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 20)
+    known = bpe._Pieces(bpe._loaded(bpe.vocabulary()))
+    calls = []
+    monkeypatch.setattr(bpe, "_stream", lambda merges, data, f=bpe._stream: calls.append(data) or f(merges, data))
+    plain = {f"w{i}": ",".join(known.names[t] for t in known.merges.merge(f"w{i}".encode())) for i in range(200)}
+    for piece, ids in plain.items():
+        assert known[piece] == ids and known["often"] and len(known) + len(known.earlier) <= 20
+    assert calls.count(b"often") == 1
+
+
+def test_pipeline_sends_small_batches(spark, sf_dir):
+    """Each of the pipeline's stages, also when it is called alone."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = texts.table(spark, sf_dir, "documents").limit(20)
+    before = spark.conf.get(setting)
+    try:
+        for name, stage in corpus_pipeline.STAGES[-2:]:
+            spark.conf.set(setting, "64m")
+            stage(spark, docs, sf_dir)
+            assert int(spark.conf.get(setting)) <= texts.GROUP_BYTES, name
+        rows = spark.range(0, 10_000, 1, 1).selectExpr("id AS doc_id", "repeat('x', 2000) AS text")
+        sizes = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n bigint").collect()
+        assert sum(r["n"] for r in sizes) > 20_000_000 and max(r["n"] for r in sizes) < 2 * texts.GROUP_BYTES
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_ids_are_stored_in_few_files(spark, monkeypatch):
+    """As many as the cores ask for, not the shuffle partitions; components come out the same."""
+    chain = [(i, i + 1) for i in range(0, 40) if i % 10 != 9]
+    counts, partitions = [], "spark.sql.shuffle.partitions"
+    before, plain = spark.conf.get(partitions), cut_lineage
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    monkeypatch.setattr(component_rounds, "cut_lineage", lambda df, **k: counts.append((out := plain(df, **k)).rdd.getNumPartitions()) or out)
+    try:
+        spark.conf.set(partitions, "211")
+        spark.conf.set(merging, "false")
+        found = component_rounds.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()
+    finally:
+        spark.conf.set(partitions, before)
+        spark.conf.unset(merging)
+    assert {r["node"]: r["component"] for r in found} == {i: i // 10 * 10 for i in range(40)}
+    assert max(counts) <= FILES_PER_CORE * spark.sparkContext.defaultParallelism < 211
