@@ -466,6 +466,56 @@ def test_remembered_pieces_are_few_and_frequent_ones_stay(monkeypatch):
     assert calls.count(b"often") == 1
 
 
+def test_unknown_pieces_are_merged_together(monkeypatch):
+    """Words that are new are the cost of BPE; one call for each took most of 962 CPU seconds a GB."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain, merges = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), bpe._loaded(bpe.vocabulary())
+    calls = []
+    monkeypatch.setattr(bpe, "_stream", lambda merges, data, f=bpe._stream: calls.append(data) or f(merges, data))
+    dice = random.Random(3)
+    text = " ".join("".join(dice.choices("etaoinshéß'1", k=dice.randint(1, 12))) for _ in range(4000))
+    got = ",".join(bpe.Encoder(merges).feed(text, True))
+    assert got == ",".join(map(str, plain.encode(text, add_special_tokens=False).ids))
+    assert len(calls) < len(set(bpe.PIECES.findall(text))) / 5
+
+
+def test_many_short_texts_share_a_look_up(monkeypatch):
+    merges, texts_ = bpe._loaded(bpe.vocabulary()), ["", None, *(f"word{i}s of{i * 7}" for i in range(3000)), "<|endoftext|>", "a" * 9000, "x"]
+    want = [",".join(bpe.Encoder(merges).feed(t or "", True)) for t in texts_]
+    for size in (1, 500, bpe.BATCH_CHARS):
+        monkeypatch.setattr(bpe, "BATCH_CHARS", size)
+        rows, parts = [], []
+        for part in bpe._chunks(merges, bpe._Pieces(merges), texts_):
+            if part is None:
+                rows.append(",".join(parts))
+            parts = [] if part is None else [*parts, part]
+        assert rows == want and not parts
+
+
+def test_rows_of_pieces_merge_as_single_ones():
+    merges, dice = bpe._loaded(bpe.vocabulary()), random.Random(8)
+    for length in (1, 2, 3, 7, 30, 64):
+        for letters in (b"ab", b" etaoin", bytes(range(256))):
+            data = [bytes(dice.choices(letters, k=length)) for _ in range(60)]
+            found = {}
+            for rows, ids in merges.merge_rows(np.frombuffer(b"".join(data), np.uint8).reshape(-1, length)):
+                found |= dict(zip(rows.tolist(), ids.tolist()))
+            assert [found[i] for i in range(60)] == [[merges.ids[t] for t in merges.merge(d)] for d in data]
+            assert [merges.joined(np.array(found[i])) for i in range(60)] == data
+
+
+def test_bpe_pieces_are_those_of_the_given_pattern():
+    import public_tokenizers
+    import regex
+
+    dice = random.Random(4)
+    for _ in range(3000):
+        text = "".join(dice.choices(["'", "s", "t", "re", "ll", "'d", "S", " ", "  ", "\n", "7", "²", "é", "日", "!", "\u00a0", "\x85", "̈"], k=12))
+        assert bpe.PIECES.findall(text) == regex.findall(public_tokenizers.PATTERN, text)
+
+
 def test_pipeline_sends_small_batches(spark, sf_dir):
     """Each of the pipeline's stages, also when it is called alone."""
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"
