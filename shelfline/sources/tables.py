@@ -16,6 +16,7 @@ from pyspark.sql.utils import AnalysisException
 from shelfline.functions.observed import seen_by
 from shelfline.schemas import FACT, FORECAST, METRICS, RECOMMENDATIONS
 from shelfline.schemas import MART as MART_SHAPE
+from shelfline.session import DROP_SHUFFLES, settings
 
 # Names of the stored tables.
 RAW_CALENDAR = "raw_calendar"
@@ -64,16 +65,30 @@ def _figures(df: DataFrame) -> dict:
     return df.agg(*[c.alias(n) for n, c in fingerprint(df).items()]).first().asDict()
 
 
-def _save(df: DataFrame, name: str, mode: str, partition_by: list[str] | None, sort_by: list[str] | None, path: str | None = None) -> None:
-    if partition_by:
+def _save(
+    df: DataFrame,
+    name: str,
+    mode: str,
+    partition_by: list[str] | None,
+    sort_by: list[str] | None,
+    buckets: tuple[int, list[str]] | None,
+    dealt: bool,
+    path: str | None = None,
+) -> None:
+    if not dealt and buckets:
+        df = df.repartition(buckets[0], *buckets[1])
+    elif not dealt and partition_by:
         df = df.hint("rebalance", *partition_by)
-    if sort_by:
+    if sort_by and not buckets:  # with buckets, the writer sorts by partition, bucket and these
         df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
     writer = df.write.mode(mode).format("parquet")
     if path:
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets[0], *buckets[1])
+        writer = writer.sortBy(*sort_by) if sort_by else writer
     writer.saveAsTable(name)
 
 
@@ -102,6 +117,8 @@ def write_table(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
+    buckets: tuple[int, list[str]] | None = None,
+    dealt: bool = False,
 ) -> None:
     """Replace or append a table.
 
@@ -111,15 +128,30 @@ def write_table(
 
     A partitioned table is rebalanced on its partition columns first: files get an even size and a
     year that holds most rows is split over many tasks. Rows are ordered inside files only.
+
+    `buckets`: their number and the columns whose hash decides; a reader that groups by these columns and
+    others needs no shuffle. `dealt`: the rows are in the tasks that shall write them, and are not moved again.
     """
-    if mode != "overwrite":
-        _save(df, name, mode, partition_by, sort_by)
-        return
+    with settings(df.sparkSession, DROP_SHUFFLES):
+        if mode == "overwrite":
+            _replace(df, name, partition_by, sort_by, buckets, dealt)
+        else:
+            _save(df, name, mode, partition_by, sort_by, buckets, dealt)
+
+
+def _replace(
+    df: DataFrame,
+    name: str,
+    partition_by: list[str] | None,
+    sort_by: list[str] | None,
+    buckets: tuple[int, list[str]] | None,
+    dealt: bool,
+) -> None:
     spark, version, seen = df.sparkSession, uuid.uuid4().hex[:12], Observation()
     staged = f"{name}__staged_{version}"
     try:
         watched = df.observe(seen, *[c.alias(n) for n, c in fingerprint(df).items()])
-        _save(watched, staged, "error", partition_by, sort_by, _version_folder(spark, name, version))
+        _save(watched, staged, "error", partition_by, sort_by, buckets, dealt, _version_folder(spark, name, version))
         stored = _figures(spark.table(staged))
         # A map task that ran again after a lost executor was observed twice: then the input is counted anew.
         if stored != seen_by(seen) and stored != (wanted := _figures(df)):

@@ -1,5 +1,6 @@
 """Readers, writers and the end-to-end jobs on small inputs."""
 
+import time
 import uuid
 
 import pytest
@@ -9,9 +10,9 @@ from pyspark.errors import AnalysisException
 
 import frames
 from shelfline.operators import joins, rollups
-from shelfline.plans import jobs
+from shelfline.plans import jobs, layers as layers_plan
 from shelfline.plans.layers import materialize_layers
-from shelfline.session import scratch_path
+from shelfline.session import scratch_path, settings
 from shelfline.sources import files, tables
 
 
@@ -205,3 +206,44 @@ def test_views_of_layers_belong_to_their_dataset(spark, dataset):
     materialize_layers(spark, frames.fact(spark).limit(0), frames.calendar(spark), other)
     assert spark.table(f"{dataset}.int_daily_sales").count() == 16 and spark.table(f"{other}.int_daily_sales").count() == 0
     assert spark.table(f"{dataset}.int_weekly_sales").columns == rollups.weekly_sales(spark.table(f"{dataset}.int_daily_sales")).columns
+
+
+def test_layers_group_their_rows_in_buckets(spark, dataset, monkeypatch):
+    monkeypatch.setattr(layers_plan, "ROWS_PER_BUCKET", 5)
+    undated = [(frames.D(2012, 1 + n % 12, 5), f"N{n % 3}" if n % 5 else None, "N_1", "HOBBIES", "CA_1", "CA", n, 1.5) for n in range(24)]
+    fact, calendar = frames.fact(spark, frames.fact_rows() + undated), frames.calendar(spark)
+    made = materialize_layers(spark, fact, calendar, dataset)
+    plain = layers_plan.build_layers(fact, calendar)
+    for name in ("int_daily_sales", "int_weekly_sales", "int_monthly_sales", "mart_sales_forecasting"):
+        kept, wanted = getattr(made, name), getattr(plain, name)
+        assert kept.columns == wanted.columns and wanted.count() == kept.count() > 0
+        assert kept.exceptAll(wanted).isEmpty()
+    details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {dataset}.fct_daily_sales").collect()}
+    assert details["Num Buckets"] == "8"  # 40 rows
+
+
+def test_models_of_a_bucketed_table_need_no_shuffle(spark, dataset):
+    materialize_layers(spark, frames.fact(spark).where("date < '2011-02-01'"), frames.calendar(spark), dataset)
+    with settings(spark, layers_plan.BY_BUCKET):
+        for model in (rollups.weekly_sales, rollups.monthly_sales):
+            df = model(spark.table(f"{dataset}.int_daily_sales"), together=True)
+            assert df.count() > 0 and len(df.collect()) > 0
+            ran = df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+            assert "SortAggregate" in ran and "FileScan" in ran and "Exchange" not in ran
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
+
+
+def test_a_write_leaves_no_shuffle_files(spark, dataset):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        names = [files.apply(n).getName() for n in range(files.size())]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    tables.write_table(spark.range(1000).selectExpr("id", "id % 3 AS year"), f"{dataset}.p", partition_by=["year"], sort_by=["id"])
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.table(f"{dataset}.p").count() == 1000
